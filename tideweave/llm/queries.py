@@ -8,20 +8,39 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideweave.llm.exact_dedup import exact_groups
+from tideweave.llm.packing import pack
+from tideweave.llm.sstable import round_trip
+
+
+def tokenizer_path() -> str:
+    """The vocabulary file the queries use; operators take any path."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=1)
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = exact_groups(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op10_sstable(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_best_fit_packing": op2_best_fit_packing,
         "op3_exact_dedup": op3_exact_dedup,
+        "op10_sstable": op10_sstable,
     }
 
 
