@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tideweave.llm import langid, quality
 from tideweave.llm.exact_dedup import exact_groups
 from tideweave.llm.packing import pack
 from tideweave.llm.sstable import round_trip
@@ -32,6 +33,16 @@ def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.quality(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
 def op10_sstable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
 
@@ -40,6 +51,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_exact_dedup": op3_exact_dedup,
+        "op4_quality_rules": op4_quality_rules,
+        "op6_language_id": op6_language_id,
         "op10_sstable": op10_sstable,
     }
 
