@@ -78,7 +78,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, text: st
     end = end_id.to_bytes(4, "little")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo = WordIds(tokenizer)
+        memo = WordIds.of(tokenizer)
         for rows in rows_of(batches):
             out: list[tuple] = []
             for key, ids in zip(rows["doc_id"], memo.encode(rows["text"]), strict=True):

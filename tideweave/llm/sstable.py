@@ -205,7 +205,7 @@ def write_shards(
     end = end_id.to_bytes(4, "little")
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memo, shard = WordIds(tokenizer), None
+        memo, shard = WordIds.of(tokenizer), None
         for rows in rows_of(batches):
             shard = shard or ShardWriter(width)
             for key, ids in zip(rows["doc_id"], memo.encode(rows["text"]), strict=True):

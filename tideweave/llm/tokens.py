@@ -1,22 +1,33 @@
 """Token ids of whole texts by a public tokenizer file, with a memo of words.
 
-The tokenizers used here drop white space and never join characters across it, so the ids of a text
-are the ids of its white-space delimited chunks in order. Each worker keeps the ids of chunks that
-it has met; the library encodes every new chunk.
+Where a tokenizer drops white space and never joins characters across it, the ids of a text are the
+ids of its white-space delimited chunks in order. Each worker keeps the ids of chunks it has met,
+and the library encodes every new one. A tokenizer without that property encodes whole texts.
 """
 
 from __future__ import annotations
 
 import os
 from collections.abc import Iterable, Iterator
+from itertools import filterfalse
 
 import numpy as np
 import pyarrow as pa
 
-#: Chunks kept per worker, about 100 MB; the memo starts anew beyond that.
-MEMO_WORDS = 400_000
+#: Chunks kept per worker, about 100 MB; when it is full, rarer chunks are encoded anew.
+MEMO_WORDS = 500_000
 #: Rows handled at once.
 ROWS = 256
+#: New chunks encoded in one call, with BAR between them.
+AT_ONCE, BAR = 512, "|"
+#: Trailing marks that may be split from a letter or digit: none begins or joins anything there.
+MARKS = b'.,;:!?#$%&*"()-_/+='
+
+_memos: dict[str, WordIds] = {}
+
+
+def _bytes(ids: list[int]) -> bytes:
+    return np.asarray(ids, dtype="<u4").tobytes()
 
 
 class WordIds(dict):
@@ -27,23 +38,84 @@ class WordIds(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self._encode = Tokenizer.from_file(path).encode_batch_fast
+        self._batch = Tokenizer.from_file(path).encode_batch_fast
+        one = self._ids
+        self.by_chunk = one([" \ta \r\n\x0b\x0cb "]) == one(["a b"]) == [one(["a"])[0] + one(["b"])[0]]
+        self.folds_case = one(["ABCDEFGHIJKLMNOPQRSTUVWXYZ"]) == one(["abcdefghijklmnopqrstuvwxyz"])
+        marks = [m.decode() for m in (MARKS[i : i + 1] for i in range(len(MARKS)))]
+        a, seven = one(["a", "7"])
+        self.splits_marks = one([f"{x}{m}{m}" for x in "a7" for m in marks]) == [
+            x + y for x in (a, seven) for y in one([m + m for m in marks])
+        ]
+        bar = one([BAR])[0]
+        self.bar = int.from_bytes(bar, "little") if len(bar) == 4 else None
+
+    @classmethod
+    def of(cls, path: str) -> WordIds:
+        """This worker's memo for a file; it lasts over tasks."""
+        if path not in _memos:
+            _memos[path] = cls(path)
+        return _memos[path]
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [_bytes(e.ids) for e in self._batch(texts, add_special_tokens=False)]
+
+    def _learn(self, chunks: Iterable[bytes]) -> None:
+        """Ids of chunks, many in a call: a bar between chunks without one shows where each ends."""
+        chunks = list(chunks)
+        if self.bar is None:
+            self.update(zip(chunks, self._ids([c.decode() for c in chunks]), strict=True))
+            return
+        odd = [c for c in chunks if b"|" in c]
+        self.update(zip(odd, self._ids([c.decode() for c in odd]), strict=True))
+        plain = [c for c in chunks if b"|" not in c] if odd else chunks
+        for at in range(0, len(plain), AT_ONCE):
+            some = plain[at : at + AT_ONCE]
+            ids = np.asarray(self._batch([b" | ".join(some).decode()], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(ids == self.bar) * 4
+            data = ids.tobytes()
+            starts = [0, *(ends + 4).tolist()]
+            self.update(zip(some, [data[a:b] for a, b in zip(starts, [*ends.tolist(), len(data)], strict=True)], strict=True))
 
-    def learn(self, words: Iterable[bytes]) -> None:
-        new = list(words)
-        for word, got in zip(new, self._encode([w.decode() for w in new], add_special_tokens=False), strict=True):
-            self[word] = np.asarray(got.ids, dtype="<u4").tobytes()
+    def _meet(self, new: set[bytes]) -> set[bytes]:
+        """Learn new chunks; gives all that were added. Marks at the end of a chunk are encoded apart."""
+        if not self.splits_marks:
+            self._learn(new)
+            return new
+        parts, todo = [], set()
+        for chunk in new:
+            core = chunk.rstrip(MARKS)
+            if core and len(core) < len(chunk) and core[-1:].isalnum():
+                tail = chunk[len(core) :]
+                parts.append((chunk, core, tail))
+                todo.add(core)
+                todo.add(tail)
+            else:
+                todo.add(chunk)
+        todo = set(filterfalse(self.__contains__, todo))
+        self._learn(todo)
+        for chunk, core, tail in parts:
+            self[chunk] = self[core] + self[tail]
+        return new | todo
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; null counts as empty."""
+        if not self.by_chunk:
+            return self._ids([t or "" for t in texts])
+        data = [(t or "").encode() for t in texts]
+        if self.folds_case:  # special tokens, written <|...|>, are matched before case is folded
+            data = [d if b"<|" in d else d.lower() for d in data]
+        chunks = [d.split() for d in data]
+        found = [list(map(self.get, c)) for c in chunks]
+        gaps = [[i for i, ids in enumerate(f) if ids is None] if None in f else () for f in found]
+        added = self._meet({c[i] for c, g in zip(chunks, gaps, strict=True) for i in g})
+        for c, f, g in zip(chunks, found, gaps, strict=True):
+            for i in g:
+                f[i] = self[c[i]]
         if len(self) > MEMO_WORDS:
-            self.clear()
-        chunks = [(t or "").encode().split() for t in texts]
-        new = set().union(*chunks).difference(self) if chunks else ()
-        if new:
-            self.learn(new)
-        get = self.__getitem__
-        return [b"".join(map(get, c)) for c in chunks]
+            for chunk in added:
+                del self[chunk]
+        return list(map(b"".join, found))
 
 
 def rows_of(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[dict[str, list]]:
