@@ -70,18 +70,18 @@ def hit_filter(index: DataFrame) -> DataFrame:
     )
 
 
-def maybe_hit(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """Rows whose digest may occur more than once; none that does is missed. The filter's size is fixed."""
+def with_hit(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
+    """``rows`` with a boolean ``hit``: true wherever the digest occurs more than once, and rarely elsewhere.
+
+    The filter's size is fixed, so it is broadcast whatever the input.
+    """
     slot = _slot(F.col("digest"))
     at = F.bitmap_bit_position(slot)
-    byte = F.conv(F.hex(F.substring("bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     bit = F.pmod(F.call_function("shiftright", byte, F.pmod(at, F.lit(8)).cast("int")), F.lit(2))
-    columns = rows.columns
-    return (
-        rows.withColumn("bucket", F.bitmap_bucket_number(slot))
-        .join(F.broadcast(bitmaps), "bucket")
-        .where(bit == 1)
-        .select(*columns)
+    named = bitmaps.select(F.col("bucket").alias("_bucket"), F.col("bits").alias("_bits"))
+    return rows.join(F.broadcast(named), F.bitmap_bucket_number(slot) == F.col("_bucket"), "left").select(
+        *rows.columns, (F.col("_bits").isNotNull() & (bit == 1)).alias("hit")
     )
 
 
@@ -102,7 +102,8 @@ def exact_groups(
     level0 = memtables(rows.select("digest", (-F.col("doc_id")).alias("ident")))
     bitmaps = hit_filter(compact(level0))
     groups = (
-        maybe_hit(rows, bitmaps)
+        with_hit(rows, bitmaps)
+        .where("hit")
         .groupBy("digest", "norm")
         .agg(F.min(-F.col("doc_id")).alias("first"), F.count("*").alias("size"))
         .select("digest", "first", "size", F.xxhash64("norm").alias("bytes"), F.length("norm").alias("chars"))

@@ -9,8 +9,10 @@ from pyspark.sql import functions as F
 
 from tideweave.llm import langid, quality
 from tideweave.llm.exact_dedup import exact_groups
+from tideweave.llm.mixing import mix
 from tideweave.llm.packing import pack
 from tideweave.llm.sstable import round_trip
+from tideweave.llm.warc import archive_round_trip
 
 
 def tokenizer_path() -> str:
@@ -43,6 +45,15 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.train(docs))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = archive_round_trip(_table(spark, sf_dir, "pages"))
+    return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents"))
+
+
 def op10_sstable(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=2)
 
@@ -53,6 +64,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_exact_dedup": op3_exact_dedup,
         "op4_quality_rules": op4_quality_rules,
         "op6_language_id": op6_language_id,
+        "op8_warc": op8_warc,
+        "op9_mixing": op9_mixing,
         "op10_sstable": op10_sstable,
     }
 
@@ -70,4 +83,15 @@ def oracle_sql() -> dict[str, str]:
                    sha256(norm) AS text_sha256
             FROM t
         """,
+        "op8_warc": """
+            WITH t AS (
+                SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS payload_bytes FROM pages
+            ), u AS (
+                SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY html) END AS least FROM t
+            )
+            SELECT page_id, payload_bytes, sha256(html) AS payload_digest,
+                   CASE WHEN least IS NULL OR least = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+                   CASE WHEN least <> page_id THEN least END AS refers_to
+            FROM u
+        """,
     }
