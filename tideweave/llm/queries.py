@@ -11,6 +11,7 @@ from tideweave.llm import langid, quality
 from tideweave.llm.exact_dedup import exact_groups
 from tideweave.llm.mixing import mix
 from tideweave.llm.packing import pack
+from tideweave.llm.pii import pseudonymise
 from tideweave.llm.sstable import round_trip
 from tideweave.llm.warc import archive_round_trip
 
@@ -40,6 +41,10 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(docs, quality.train(docs, _table(spark, sf_dir, "labels")))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pseudonymise(_table(spark, sf_dir, "documents"))
+
+
 def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     return langid.identify(docs, langid.train(docs))
@@ -63,6 +68,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_exact_dedup": op3_exact_dedup,
         "op4_quality_rules": op4_quality_rules,
+        "op5_pii": op5_pii,
         "op6_language_id": op6_language_id,
         "op8_warc": op8_warc,
         "op9_mixing": op9_mixing,
