@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tideweave.llm import langid, quality
 from tideweave.llm.exact_dedup import exact_groups
+from tideweave.llm.minhash import near_duplicates
 from tideweave.llm.mixing import mix
 from tideweave.llm.packing import pack
 from tideweave.llm.pii import pseudonymise
@@ -27,6 +28,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
 def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), tokenizer_path(), end_id=1)
 
@@ -65,6 +70,7 @@ def op10_sstable(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_minhash_near_dedup": op1_minhash_near_dedup,
         "op2_best_fit_packing": op2_best_fit_packing,
         "op3_exact_dedup": op3_exact_dedup,
         "op4_quality_rules": op4_quality_rules,
