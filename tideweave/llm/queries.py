@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tideweave.llm import langid, quality
 from tideweave.llm.exact_dedup import exact_groups
+from tideweave.llm.lm import score
 from tideweave.llm.minhash import near_duplicates
 from tideweave.llm.mixing import mix
 from tideweave.llm.packing import pack
@@ -55,6 +56,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(docs, langid.train(docs))
 
 
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(_table(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = archive_round_trip(_table(spark, sf_dir, "pages"))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -76,6 +81,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_quality_rules": op4_quality_rules,
         "op5_pii": op5_pii,
         "op6_language_id": op6_language_id,
+        "op7_lm_scoring": op7_lm_scoring,
         "op8_warc": op8_warc,
         "op9_mixing": op9_mixing,
         "op10_sstable": op10_sstable,
