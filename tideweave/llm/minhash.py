@@ -10,16 +10,17 @@ Document frequencies come from a count sketch of fixed size over all documents:
 where it matters, since only shingles in one of IDF_SHARE documents or more are damped.
 
 Equal word sequences share a key and are one node. Within a bucket of equal bands no pairs are
-spelled out: each member is compared with at most four pivots. What is not yet connected then is
-compared directly, unless the triangle inequality over the pivots rules a link out (one minus the
-weighted Jaccard similarity is a metric), so no link between members of a bucket is lost.
+spelled out: each member is compared with at most four pivots, which connects most of what belongs
+together. Members of buckets that are not one component then meet by prefix filtering, which is
+exact: of two components, only members that may still reach the threshold are compared. So no link
+between members of a bucket is lost.
 """
 
 from __future__ import annotations
 
 import hashlib
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -98,12 +99,16 @@ def _places(hashes: np.ndarray) -> Iterator[np.ndarray]:
 
 def sketch(docs: DataFrame) -> tuple[np.ndarray, int]:
     """(counters, documents): in how many rows of ``docs`` (text) a shingle of each place occurs."""
+    return _sketch(docs.select("text"), lambda rows, memo: [shingles(words_of(t), memo)[0] for t in rows["text"]])
+
+
+def _sketch(docs: DataFrame, hashes_of: Callable) -> tuple[np.ndarray, int]:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, total = WordHashes(), np.zeros((SKETCH_ROWS, 1 << SKETCH_BITS), np.uint32)
         n = 0
         for rows in rows_of(batches):
-            found = [shingles(words_of(t), memo)[0] for t in rows["text"]]
+            found = hashes_of(rows, memo)
             n += len(found)
             for row, place in enumerate(_places(np.concatenate(found))):
                 total[row] += np.bincount(place, minlength=1 << SKETCH_BITS).astype(np.uint32)
@@ -120,7 +125,7 @@ def sketch(docs: DataFrame) -> tuple[np.ndarray, int]:
         for chunk, x in sums.items():
             yield pd.DataFrame({"chunk": [chunk], "counts": [str(x).encode() if chunk < 0 else zlib.compress(x.tobytes(), 1)]})
 
-    parts = docs.select("text").mapInArrow(count, "chunk long, counts binary")
+    parts = docs.mapInArrow(count, "chunk long, counts binary")
     summed = parts.repartition(CHUNKS, "chunk").mapInPandas(add, "chunk long, counts binary")
     total = np.zeros((CHUNKS, SKETCH_ROWS << SKETCH_BITS - 5), np.uint64)
     n = 0
@@ -224,6 +229,11 @@ def _signatures(docs: DataFrame, weights: Weights) -> DataFrame:
     return docs.mapInArrow(sign, "doc_id long, key binary, words long, bands array<long>")
 
 
+def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
+    n = len(blob) // 12
+    return np.frombuffer(blob, np.uint64, n), np.frombuffer(blob, np.uint32, n, 8 * n)
+
+
 def _sets(docs: DataFrame) -> DataFrame:
     """key, hashes and counts of the shingles of each row."""
 
@@ -245,9 +255,8 @@ def _verify(pairs: DataFrame, sets: DataFrame, weights: Weights) -> DataFrame:
     """(a, b, similarity) of pairs (a, b)."""
 
     def unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
-        n = len(blob) // 12
-        hashes = np.frombuffer(blob, np.uint64, n)
-        return hashes, weights.of(hashes, np.frombuffer(blob, np.uint32, n, 8 * n))
+        hashes, counts = _unpack(blob)
+        return hashes, weights.of(hashes, counts)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -269,6 +278,48 @@ def _verify(pairs: DataFrame, sets: DataFrame, weights: Weights) -> DataFrame:
     return stored(joined.mapInArrow(compare, "a binary, b binary, similarity double"), "similar")
 
 
+def _prefix_pairs(loose: DataFrame, weights: Weights, threshold: float) -> DataFrame:
+    """(a, b) of different roots that may reach the threshold, of ``loose`` (key, root, shingles).
+
+    In one order of all shingles, rarest first, the first shingle that two sets share leaves at least
+    their overlap behind it. So if their similarity reaches the threshold, that shingle lies in both
+    prefixes, where what is left from it on weighs at least the threshold times the set; and what is
+    left in either weighs at least the overlap that the two sets' weights ask for. Any order is
+    right; a good one, here by a sketch over these sets, puts what a text has to itself first.
+    """
+    counters = _sketch(loose.select("shingles"), lambda rows, memo: [_unpack(b)[0] for b in rows["shingles"]])[0]
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in rows_of(batches):
+            for key, root, blob in zip(rows["key"], rows["root"], rows["shingles"], strict=True):
+                hashes, counts = _unpack(blob)
+                weight = weights.of(hashes, counts)
+                seen = np.min([c[p] for c, p in zip(counters, _places(hashes), strict=True)], axis=0)
+                order = np.lexsort((hashes, seen))
+                left = weight[order][::-1].cumsum()[::-1]
+                total = weight.sum()
+                inside = left >= threshold * total * (1 - 1e-9)
+                prefix = hashes[order[inside]].astype(np.int64)
+                n = len(prefix)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        *(pa.array(x) for x in (prefix, left[inside], np.full(n, total))),
+                        *(pa.array([x] * n, pa.binary()) for x in (key, root)),
+                    ],
+                    ["shingle", "left", "total", "key", "root"],
+                )
+
+    found = stored(loose.mapInArrow(prefixes, "shingle long, left double, total double, key binary, root binary"), "prefixes")
+    spread = found.groupBy("shingle").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("shingle")
+    some = found.join(spread, "shingle")
+    x, y = some.alias("x"), some.alias("y")
+    # Sets of weights X and Y reach the threshold t if they share t / (1 + t) * (X + Y) or more.
+    shared = threshold / (1 + threshold) * (1 - 1e-9)
+    enough = F.least("x.left", "y.left") >= shared * (F.col("x.total") + F.col("y.total"))
+    joined = x.join(y, (F.col("x.shingle") == F.col("y.shingle")) & (F.col("x.root") < F.col("y.root")) & enough)
+    return joined.select(*_pairs(F.col("x.key"), F.col("y.key"))).distinct()
+
+
 def _pairs(x: Column, y: Column) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
@@ -290,16 +341,18 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     # One node per distinct word sequence, in the order of its key.
     nodes = worded.groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
     bands = nodes.select("key", "doc_id", F.explode("bands").alias("band"))
+    shared = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
+    members = stored(bands.join(shared, "band"), "members")
+    # The member with the most company is the likeliest to be near all others: the first pivot.
+    degrees = members.groupBy("key").agg(F.sum("n").alias("degree"))
     second = lambda c: F.xxhash64(c)  # noqa: E731  another order of the members
-    pivots = bands.groupBy("band").agg(
-        F.count("*").alias("n"),
-        F.min("key").alias("p0"),
-        F.max("key").alias("p1"),
-        F.min_by("key", second("key")).alias("p2"),
-        F.max_by("key", second("key")).alias("p3"),
+    pivots = members.join(degrees, "key").groupBy("band").agg(
+        F.max_by("key", F.struct("degree", "key")).alias("p0"),
+        F.min("key").alias("p1"),
+        F.max("key").alias("p2"),
+        F.min_by("key", second("key")).alias("p3"),
     )
-    pivots = pivots.where("n > 1").select("band", F.array("p0", "p1", "p2", "p3").alias("pivots"))
-    members = stored(bands.join(pivots, "band"), "members")
+    members = members.join(pivots.select("band", F.array("p0", "p1", "p2", "p3").alias("pivots")), "band")
 
     first = members.select("key", F.explode(F.array_distinct("pivots")).alias("pivot")).where("key <> pivot")
     first = stored(first.select(*_pairs(F.col("key"), F.col("pivot"))).distinct(), "pairs")
@@ -312,27 +365,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     near = _verify(first, sets, weights)
 
     labels = components(near.where(F.col("similarity") >= threshold).select("a", "b"))
-    labelled = members.join(labels.withColumnRenamed("node", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
-    open_bands = labelled.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("band")
-    # Distances of the members of bands that aren't one component yet to the band's pivots.
-    spread = labelled.join(open_bands, "band").select("band", "key", "root", F.posexplode("pivots").alias("i", "pivot"))
-    spread = spread.select("band", "key", "root", "i", "pivot", *_pairs(F.col("key"), F.col("pivot")))
-    far = F.when(F.col("key") == F.col("pivot"), 0.0).otherwise(1 - F.col("similarity"))
-    distances = (
-        spread.join(near, ["a", "b"], "left")
-        .groupBy("band", "key", "root")
-        .agg(*(F.max(F.when(F.col("i") == i, far)).alias(f"d{i}") for i in range(4)))
-        .where(" AND ".join(f"d{i} > 0" for i in range(4)))  # pivots have been compared with all
-    )
-    distances = stored(distances, "distances")
-    x, y = distances.alias("x"), distances.alias("y")
-    reach = 1 - threshold + 1e-9
-    apart = [F.abs(F.col(f"x.d{i}") - F.col(f"y.d{i}")) <= reach for i in range(4)]
-    condition = (F.col("x.band") == F.col("y.band")) & (F.col("x.root") != F.col("y.root")) & (F.col("x.key") < F.col("y.key"))
-    for c in apart:
-        condition &= c
-    rest = x.join(y, condition).select(F.col("x.key").alias("a"), F.col("y.key").alias("b")).distinct()
-    more = _verify(stored(rest, "rest"), sets, weights)
+    roots = members.select("band", "key").join(labels.withColumnRenamed("node", "key"), "key", "left")
+    roots = roots.withColumn("root", F.coalesce("root", "key"))
+    mixed = roots.groupBy("band").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x <> y").select("band")
+    loose = stored(roots.join(mixed, "band").select("key", "root").distinct().join(sets, "key"), "loose")
+    rest = _prefix_pairs(loose, weights, threshold)
+    more = _verify(rest.join(near.select("a", "b"), ["a", "b"], "left_anti"), sets, weights)
 
     links = near.unionByName(more).where(F.col("similarity") >= threshold).select("a", "b")
     roots = components(links)
