@@ -90,7 +90,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, text: st
             names = ("doc_id", "piece", "start", "length", "ids_crc32")
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], list(names))
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(cut, PIECES)
+    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("binary").alias("text")).mapInArrow(cut, PIECES)
 
 
 def best_fit(items: DataFrame, capacity: int, open_bins: int = OPEN_BINS, group_items: int = GROUP_PIECES) -> DataFrame:

@@ -223,7 +223,7 @@ def write_shards(
         rows.withColumn("h", F.xxhash64("text"))
         .repartitionByRange(parts_for(chars, shard_text), "doc_id", "h")
         .sortWithinPartitions("doc_id", "h")
-        .select("doc_id", "text")
+        .select("doc_id", F.col("text").cast("binary"))
         .mapInArrow(frames, "frame binary")
         .select(F.col("frame").cast("string").alias("value"))
         .write.text(path, lineSep="\n")

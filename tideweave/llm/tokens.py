@@ -7,8 +7,9 @@ and the library encodes every new one. A tokenizer without that property encodes
 
 from __future__ import annotations
 
+import json
 import os
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import filterfalse
 
 import numpy as np
@@ -49,6 +50,24 @@ class WordIds(dict):
         ]
         bar = one([BAR])[0]
         self.bar = int.from_bytes(bar, "little") if len(bar) == 4 else None
+        self._letters = self._lighter(path) if self.by_chunk and self.folds_case and self.bar is not None else None
+
+    def _lighter(self, path: str):
+        """The same model for chunks of a-z only, where normalising and splitting change nothing; None if they might."""
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        with open(path, encoding="utf-8") as f:
+            parts = json.load(f)
+        named = lambda x, key: {y["type"] for y in (x or {}).get(key, [x] if x else [])}
+        if not named(parts["normalizer"], "normalizers") <= {"NFC", "NFKC", "Replace", "Lowercase"}:
+            return None
+        if not named(parts["pre_tokenizer"], "pretokenizers") <= {"Split", "ByteLevel"}:
+            return None
+        light = Tokenizer.from_file(path)
+        light.normalizer, light.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+        probe = [f"{a}{b}{c}" for a in "aeiouy" for b in "bdgknrstz" for c in ("", "e", "ing", "ation", "ness", "word")]
+        mine = light.encode_batch_fast(probe, add_special_tokens=False)
+        return light.encode_batch_fast if [_bytes(e.ids) for e in mine] == self._ids(probe) else None
 
     @classmethod
     def of(cls, path: str) -> WordIds:
@@ -68,10 +87,16 @@ class WordIds(dict):
             return
         odd = [c for c in chunks if b"|" in c]
         self.update(zip(odd, self._ids([c.decode() for c in odd]), strict=True))
-        plain = [c for c in chunks if b"|" not in c] if odd else chunks
+        if self._letters:
+            self._join([c for c in chunks if c.isalpha()], self._letters)
+            self._join([c for c in chunks if not c.isalpha() and b"|" not in c], self._batch)
+        else:
+            self._join([c for c in chunks if b"|" not in c], self._batch)
+
+    def _join(self, plain: list[bytes], batch: Callable) -> None:
         for at in range(0, len(plain), AT_ONCE):
             some = plain[at : at + AT_ONCE]
-            ids = np.asarray(self._batch([b" | ".join(some).decode()], add_special_tokens=False)[0].ids, "<u4")
+            ids = np.asarray(batch([b" | ".join(some).decode()], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(ids == self.bar) * 4
             data = ids.tobytes()
             starts = [0, *(ends + 4).tolist()]
@@ -98,11 +123,11 @@ class WordIds(dict):
             self[chunk] = self[core] + self[tail]
         return new | todo
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        """The ids of each text; null counts as empty."""
+    def encode(self, texts: list[bytes | None]) -> list[bytes]:
+        """The ids of each text, given in UTF-8; null counts as empty."""
+        data = [t or b"" for t in texts]
         if not self.by_chunk:
-            return self._ids([t or "" for t in texts])
-        data = [(t or "").encode() for t in texts]
+            return self._ids([d.decode() for d in data])
         if self.folds_case:  # special tokens, written <|...|>, are matched before case is folded
             data = [d if b"<|" in d else d.lower() for d in data]
         chunks = [d.split() for d in data]
