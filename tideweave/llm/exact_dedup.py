@@ -22,8 +22,8 @@ from tideweave.llm.common import ascii_lower, scratch
 
 #: Bits of the hit filter: 8 MB, whatever the input.
 FILTER_BITS = 1 << 26
-#: Rows of a run, about 64 MB.
-RUN_ROWS = 1 << 20
+#: Rows of a run, about 8 MB, and bytes of its Bloom filter (about 1 % false positives in a full run).
+RUN_ROWS, RUN_FILTER_BYTES = 1 << 17, 1 << 17
 
 
 def sha256_hex(text: Column) -> Column:
@@ -38,8 +38,8 @@ def _flush(entries: DataFrame, name: str) -> DataFrame:
         entries.sortWithinPartitions("digest", "ident")
         .write.option("maxRecordsPerFile", RUN_ROWS)
         .option("parquet.bloom.filter.enabled#digest", "true")
-        .option("parquet.bloom.filter.expected.ndv#digest", str(RUN_ROWS))
         .option("parquet.bloom.filter.adaptive.enabled", "true")
+        .option("parquet.bloom.filter.max.bytes", str(RUN_FILTER_BYTES))
         .option("compression", "zstd")
         .parquet(path)
     )

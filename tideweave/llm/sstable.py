@@ -86,7 +86,8 @@ class ShardWriter:
         self.at += len(data) + 1
         return data
 
-    def add(self, key: bytes, ids: np.ndarray) -> Iterator[bytes]:
+    def add(self, key: bytes, value: bytes) -> bytes | None:
+        """Take a document's ids, already of the shard's width; gives a block when one is full."""
         shared = 0
         if self.first is None:
             self.first = key
@@ -94,16 +95,14 @@ class ShardWriter:
             most = min(len(key), len(self.last))
             while shared < most and key[shared] == self.last[shared]:
                 shared += 1
-        value = ids.astype(f"<u{self.width}").tobytes()
         entry = varint(shared) + varint(len(key) - shared) + varint(len(value)) + key[shared:] + value
         self.block.append(entry)
         self.size += len(entry)
         self.last = key
         self.keys.append(key)
         self.block_docs += 1
-        self.block_ids += len(ids)
-        if self.size >= BLOCK:
-            yield self._close()
+        self.block_ids += len(value) // self.width
+        return self._close() if self.size >= BLOCK else None
 
     def _close(self) -> bytes:
         self.index.append(
@@ -200,7 +199,7 @@ def write_shards(
     """Write all documents to shards in ``path``, by ascending doc_id (nulls first, equal ids by a hash of text).
 
     ``width``: bytes of an id, 2 for vocabularies of at most 65,536 ids. A shard has about
-    ``shard_text`` characters of text. An empty table gives an empty folder.
+    ``shard_text`` bytes of text. An empty table gives an empty folder.
     """
     end = end_id.to_bytes(4, "little")
 
@@ -208,15 +207,21 @@ def write_shards(
         memo, shard = WordIds.of(tokenizer), None
         for rows in rows_of(batches):
             shard = shard or ShardWriter(width)
-            for key, ids in zip(rows["doc_id"], memo.encode(rows["text"]), strict=True):
-                out = list(shard.add(key_of(key), np.frombuffer(ids + end, "<u4")))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
+            ids = [x + end for x in memo.encode(rows["text"])]
+            values = np.frombuffer(b"".join(ids), "<u4").astype(f"<u{width}").tobytes()
+            at, out = 0, []
+            for key, x in zip(rows["doc_id"], ids, strict=True):
+                size = len(x) // 4 * width
+                if frame := shard.add(key_of(key), values[at : at + size]):
+                    out.append(frame)
+                at += size
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["frame"])
         if shard:
             yield pa.RecordBatch.from_arrays([pa.array(list(shard.end()), pa.binary())], ["frame"])
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    chars = rows.agg(F.sum(F.coalesce(F.length("text"), F.lit(0)) + 16)).first()[0]
+    chars = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 16)).first()[0]
     if chars is None:
         chars = 0
     (

@@ -15,8 +15,8 @@ from itertools import filterfalse
 import numpy as np
 import pyarrow as pa
 
-#: Chunks kept per worker, about 100 MB; when it is full, rarer chunks are encoded anew.
-MEMO_WORDS = 500_000
+#: Chunks kept per worker, about 120 MB; when it is full, rarer chunks are encoded anew.
+MEMO_WORDS = 600_000
 #: Rows handled at once.
 ROWS = 256
 #: New chunks encoded in one call, with BAR between them.
