@@ -1,25 +1,58 @@
-"""The corpus pipeline: documents to packed training sequences, one operator a stage."""
+"""The corpus pipeline: documents to packed training sequences, one operator a stage.
+
+Each stage takes (spark, docs, sf_dir) and works on all that the stage before it kept; its result is
+written as Parquet and read again as the next one's docs.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tideweave.llm import exact_dedup, minhash, mixing, packing, quality
 from tideweave.llm.common import stored
-from tideweave.llm.exact_dedup import drop_copies
+from tideweave.llm.queries import tokenizer_path
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the base rules or the classifier, trained on the labels table, reject go."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return quality.keep_good(docs, quality.train(docs, labels))
+
+
+def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of equal texts (A-Z case aside) the row with the largest doc_id stays."""
+    return exact_dedup.drop_copies(docs)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate class stays, the one with the least doc_id."""
+    return minhash.keep_one_of_each(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of sources takes them, whole."""
+    return mixing.mixed_documents(docs)
 
 
-def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts stays, the one with the largest doc_id."""
-    return drop_copies(docs)
+def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents with their place in sequences of at most 4096 tokens."""
+    return packing.pack(docs, tokenizer_path(), end_id=1)
 
 
-STAGES = [("exact dedup", exact)]
+STAGES = [
+    ("quality rules", keep_quality),
+    ("exact dedup", drop_copies),
+    ("near dedup", drop_near_copies),
+    ("mixing", mix_sources),
+    ("packing", pack_sequences),
+]
 
-#: Trained models and tokenizers are not expressible in SQL.
+#: Trained models and tokenizers are not expressible in SQL; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
