@@ -36,7 +36,7 @@ def numeric_text_order(c: Column) -> list[Column]:
 
 def valid_timestamp(c: Column, first_year: int = 2000, last_year: int = 2099) -> Column:
     """``YYYY-MM-DDTHH:MM:SSZ`` that names a real second of the given years."""
-    year = F.substring(c, 1, 4).cast("int")
+    year = F.substring(c, 1, 4).try_cast("int")
     real = F.try_to_timestamp(F.when(c.rlike(ISO), c), F.lit("yyyy-MM-dd'T'HH:mm:ss'Z'")).isNotNull()
     return F.coalesce(c.rlike(ISO) & year.between(first_year, last_year) & real, F.lit(False))
 
@@ -93,7 +93,7 @@ def serialised_newuser(c: Column) -> Column:
     rest = c.substr(F.instr(c, key) + len(key), F.length(c))
     size = F.regexp_extract(rest, r'\A([0-9]{1,9}):"', 1)
     data = F.encode(rest.substr(F.length(size) + 3, F.length(rest)), "UTF-8")
-    n = size.cast("int")
+    n = size.try_cast("int")
     # The quote must stand right after the counted bytes.
     closed = data.substr(n + 1, F.lit(1)) == F.encode(F.lit('"'), "UTF-8")
     counted = F.when((size != "") & closed, F.decode(data.substr(F.lit(1), n), "UTF-8"))
