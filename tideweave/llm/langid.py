@@ -163,7 +163,7 @@ def train(docs: DataFrame, per_lang: int = SAMPLE_DOCS, chars: int = SAMPLE_CHAR
 
     Only text and lang of documents whose fold is not 0 are used; null languages and texts are left out.
     """
-    rows = docs.where((fold_of(F.col("doc_id")) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    rows = docs.select("doc_id", "text", "lang").where((fold_of(F.col("doc_id")) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     chosen = rows.join(F.broadcast(counts), "lang").where(share < F.lit(1.0 * per_lang) / F.col("n"))
