@@ -90,6 +90,7 @@ def test_pseudonyms(spark, odd, empty):
         "ssn 123-45-6789, not 000-45-6789",
         "on 2024-02-29 and 31/12/1999, not 2023-02-30 or 1492-01-01",
         'token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"',
+        "to DE89 3704 0044 0532 0130 00 AND THAT or GB82WEST12345698765432, not GB83WEST12345698765432; call 476-555-6291",
         "nothing of the kind in 12 words, 3.5 % of all",
         None,
     ]
@@ -99,7 +100,7 @@ def test_pseudonyms(spark, odd, empty):
             assert row.text == text and not row.changed
         else:
             # Only the kinds of characters that were there, in the same places.
-            assert re.sub(r"\d", "9", re.sub("[a-z]", "a", row.text)) == re.sub(r"\d", "9", re.sub("[a-z]", "a", text)) or row.n_ip or row.n_secret
+            assert re.sub(r"\d", "9", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", row.text))) == re.sub(r"\d", "9", re.sub("[a-z]", "a", re.sub("[A-Z]", "A", text))) or row.n_ip or row.n_secret
             assert row.text != text and row.changed
     spaced, plain = re.findall(r"\d{4} \d{4} \d{4} \d{4}|\d{16}", rows[0].text)[:2]
     assert spaced.replace(" ", "") == plain and luhn(plain) and "4111111111111112" in rows[0].text
@@ -107,6 +108,9 @@ def test_pseudonyms(spark, odd, empty):
     assert mails[0].strip(",") == mails[1] and mails[1].endswith("@mail.example.com") and "+1 (" in rows[1].text
     assert "300.1.1.1" in rows[2].text and "000-45-6789" in rows[3].text and "1492-01-01" in rows[4].text and "2023-02-30" in rows[4].text
     assert re.search(r'"[0-9a-f]{40}"', rows[5].text)
+    codes = re.findall(r"[A-Z]{2}\d\d(?:[A-Z0-9]{18}|[A-Z0-9 ]{21}\d\d?)", rows[6].text)
+    sums = [int("".join(str(int(c, 36)) for c in (x[4:] + x[:4]))) % 97 for x in (y.replace(" ", "") for y in codes)]
+    assert sums[:2] == [1, 1] and codes[2].startswith("GB83WEST1234") and codes[0].startswith("DE") and (rows[6].n_iban, rows[6].n_phone) == (2, 1)
     assert pii.pseudonymise(odd).count() == odd.count() and pii.pseudonymise(empty).count() == 0
 
 

@@ -12,6 +12,7 @@ ssn     area, group and serial in range           the valid numbers
 phone   + and country code, or (area) number      the digits after the country code
 ip      four octets of 0 to 255                   all 32-bit addresses
 date    a day from 1900 to 2099                   those days; the written form stays
+iban    length and check digits (mod 97)          letters and digits after the check digits, made anew
 email   local part, @, domain with a dot          letters and digits of the local part
 secret  quoted value after a name such as token   letters and digits
 
@@ -33,10 +34,13 @@ ISO = r"(?<![\d.-])\d{4}-\d{2}-\d{2}(?![\d-])"
 SLASH = r"(?<![\d/.])\d{2}[/.]\d{2}[/.]\d{4}(?![\d/])"
 IP = r"(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?![\d]|\.\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
-PHONE = r"(?<!\d)(?:\+\d{1,3}[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)"
+#: In one piece, or in groups of four of which those after the first hold a digit (words in capitals may follow).
+_GROUPS = r"(?: [A-Z0-9]{4})(?: (?=[A-Z]{0,3}\d)[A-Z0-9]{4}){2,6}(?: (?=[A-Z]{0,2}\d)[A-Z0-9]{1,3})?"
+IBAN = rf"(?<![A-Za-z0-9])[A-Z]{{2}}\d{{2}}(?:[A-Z0-9]{{11,30}}|{_GROUPS})(?![A-Za-z0-9])"
+PHONE = r"(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])|(?<!\d)(?:\+\d{1,3}[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)"
 CARD = r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])"
-ANY = "|".join((EMAIL, SECRET, ISO, SLASH, IP, SSN, PHONE, CARD))
-KINDS = ("card", "ssn", "phone", "ip", "date", "email", "secret")
+ANY = "|".join((EMAIL, SECRET, IBAN, ISO, SLASH, IP, SSN, PHONE, CARD))
+KINDS = ("card", "iban", "ssn", "phone", "ip", "date", "email", "secret")
 FIRST_DAY, DAYS = "1900-01-01", 73_049
 
 
@@ -199,6 +203,31 @@ def permute_text(text: Column, key: str, kind: str, hexadecimal: bool = False) -
     return F.aggregate(rounds, start, step, lambda s: F.concat(s["l"], s["r"]))
 
 
+def _mod97(code: Column) -> Column:
+    """The remainder by 97 of a code whose letters count 10 to 35."""
+
+    def step(r: Column, c: Column) -> Column:
+        letter = F.ascii(c) >= 65
+        return F.when(c == "", r).otherwise(F.pmod(F.when(letter, r * 100 + F.ascii(c) - 55).otherwise(r * 10 + F.ascii(c) - 48), F.lit(97)))
+
+    return F.aggregate(F.split(code, ""), F.lit(0), step)
+
+
+def _iban(m: Column, key: str) -> tuple[Column, Column]:
+    code = F.replace(m, F.lit(" "), F.lit(""))
+    country, own = F.substring(code, 1, 2), code.substr(F.lit(5), F.length(code))
+    valid = F.length(code).between(15, 34) & (_mod97(F.concat(own, F.substring(code, 1, 4))) == 1)
+    new = permute_text(own, key, "iban")
+    check = F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
+    whole = F.concat(country, check, new)
+    start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
+    step = lambda s, c: F.struct(
+        F.concat(s["out"], F.when(c == " ", c).when(c == "", c).otherwise(F.substring(whole, s["at"], F.lit(1)))).alias("out"),
+        (s["at"] + F.when((c == " ") | (c == ""), 0).otherwise(1)).alias("at"),
+    )
+    return valid, F.aggregate(F.split(m, ""), start, step, lambda s: s["out"])
+
+
 def _email(m: Column, key: str) -> tuple[Column, Column]:
     local = F.substring_index(m, "@", 1)
     return F.lit(True), F.concat(permute_text(local, key, "email"), m.substr(F.length(local) + 1, F.length(m)))
@@ -215,10 +244,11 @@ def pseudonym(m: Column, key: str) -> Column:
     forms = (
         ("email", m.contains("@") & whole(EMAIL), _email),
         ("date", whole(r"\d{4}-\d{2}-\d{2}") | whole(r"\d{2}[/.]\d{2}[/.]\d{4}"), _date),
+        ("iban", whole(r"[A-Z]{2}\d{2}[A-Z0-9 ]+"), _iban),
         ("ip", whole(r"\d{1,3}(?:\.\d{1,3}){3}"), _ip),
         ("ssn", whole(r"\d{3}-\d{2}-\d{4}"), _ssn),
         ("card", whole(r"\d(?:[ -]?\d){12,18}"), _card),
-        ("phone", m.startswith("+") | m.startswith("("), _phone),
+        ("phone", m.startswith("+") | m.startswith("(") | whole(r"\d{3}[.-]\d{3}[.-]\d{4}"), _phone),
         ("secret", F.lit(True), _secret),
     )
     kind, text = F.lit(None).cast("string"), m
