@@ -1,12 +1,13 @@
 """A hand-written dump from text to published tables."""
 
 import gzip
+import json
 
 import pytest
 
 from tideweave.operators import audit, quality
 from tideweave.plans.extract import InvalidExtraction, extract, publish
-from tideweave.sources import dumps
+from tideweave.sources import dumps, sinks
 
 HEAD = """<mediawiki><siteinfo><sitename>x</sitename><namespaces><namespace key="0"></namespace>
 <namespace key="2" case="first-letter">Benutzer</namespace><namespace key="4">Projekt</namespace></namespaces></siteinfo>
@@ -119,6 +120,10 @@ def test_publish_writes_all_or_nothing(good, spark, tmp_path):
     assert (tmp_path / "out/verbose/username_intervals").exists()
     with pytest.raises(Exception, match="(?i)exists"):
         publish(good, str(tmp_path / "out"))
+    report = quality.release_report(good["published"], good["audit_events"], good["nodes"])
+    sinks.write_report(report, str(tmp_path / "report.json"))
+    told = json.loads((tmp_path / "report.json").read_text())
+    assert told["top_percent"] == [{"top_percent": 100.0}] and {"edges": 4, "earliest": T(1), "latest": T(6)} in told["totals"]
     bad = extract(spark, dump(tmp_path, GOOD + item("6", T(8), "thanks", "thank", "Benutzer:Bea") + item("30", T(8), "thanks", "nothing", "Benutzer:Bea")))
     with pytest.raises(InvalidExtraction) as failure:
         publish(bad, str(tmp_path / "bad"))

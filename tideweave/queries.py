@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideweave.functions import scalars
-from tideweave.operators import audit, classify, graph, identity, intervals, quality, resolve
+from tideweave.operators import audit, classify, graph, identity, intervals, quality, resolve, summary
 from tideweave.sources import dumps, site_tables
 
 
@@ -574,6 +574,98 @@ def late_rows(spark, sf_dir):
     return dumps.before_cutoff(rows).select("logid", "late")
 
 
+@query(
+    "serialised_params",
+    """SELECT p_partkey, CASE WHEN p_size > 10 THEN CAST(p_size - 10 AS VARCHAR) END AS userid, p_name || 'é' AS newuser FROM part""",
+)
+def serialised_params(spark, sf_dir):
+    """Account ids and byte-counted names within serialised parameters."""
+    name = F.concat("p_name", F.lit("é"))
+    userid = F.concat(F.lit('a:1:{s:9:"4::userid";i:'), (F.col("p_size") - 10).cast("string"), F.lit(";}"))
+    newuser = F.concat(F.lit('a:1:{s:10:"5::newuser";s:'), F.octet_length(name).cast("string"), F.lit(':"'), name, F.lit('";}'))
+    return _table(spark, sf_dir, "part").select("p_partkey", scalars.serialised_userid(userid).alias("userid"), scalars.serialised_newuser(newuser).alias("newuser"))
+
+
+@query(
+    "timestamps_valid",
+    """SELECT o_orderkey, o_orderkey % 3 > 0 AND year(o_orderdate) BETWEEN 1990 AND 2099 AS valid, strftime(o_orderdate, '%Y-%m-%dT00:00:00Z') AS cutoff FROM orders""",
+)
+def timestamps_valid(spark, sf_dir):
+    """Timestamps, a third of them on a 31st of February, and cutoffs of dates."""
+    broken = F.when(F.col("o_orderkey") % 3 == 0, "2020-02-31T00:00:00Z").otherwise(F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'"))
+    day = F.date_format("o_orderdate", "yyyyMMdd")
+    return _table(spark, sf_dir, "orders").select("o_orderkey", scalars.valid_timestamp(broken, 1990).alias("valid"), scalars.cutoff(day).alias("cutoff"))
+
+
+@query(
+    "order_pivots",
+    LOG
+    + """SELECT site, account_id, logid, coalesce(amount >= max(amount) OVER b, true) AND coalesce(amount <= min(amount) OVER a, true) AS pivot FROM log
+    WINDOW b AS (PARTITION BY site, account_id ORDER BY length(logid), logid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING),
+           a AS (PARTITION BY site, account_id ORDER BY length(logid), logid ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING)""",
+)
+def order_pivots(spark, sf_dir):
+    """Rows that belong to every longest non-decreasing subsequence."""
+    rows = _log(spark, sf_dir).select("site", "account_id", "logid", "amount")
+    return identity.order_segments(rows, ["site", "account_id"], scalars.id_order(F.col("logid")), "amount").drop("amount", "segment")
+
+
+@query(
+    "key_set_equality",
+    """SELECT c_nationkey AS k, 'missing' AS fault FROM (SELECT DISTINCT c_nationkey FROM customer) WHERE c_nationkey NOT IN (SELECT s_nationkey FROM supplier)
+    UNION ALL SELECT s_nationkey, 'unexpected' FROM (SELECT DISTINCT s_nationkey FROM supplier) WHERE s_nationkey NOT IN (SELECT c_nationkey FROM customer)
+    UNION ALL SELECT s_nationkey, 'repeated' FROM supplier GROUP BY 1, 2 HAVING count(*) > 1""",
+)
+def key_set_equality(spark, sf_dir):
+    """Keys that are missing from, unexpected in or repeated in a table."""
+    found = _table(spark, sf_dir, "supplier").select(F.col("s_nationkey").alias("k"))
+    return summary.set_faults(found, _table(spark, sf_dir, "customer").select(F.col("c_nationkey").alias("k")), "k")
+
+
+@query(
+    "positional_zip",
+    """SELECT coalesce(a.n, b.n) AS position, coalesce(a.o_orderkey, -1) AS o_orderkey, coalesce(b.c_custkey, -1) AS c_custkey FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey) AS n FROM orders) a
+    FULL JOIN (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) AS n FROM customer) b ON a.n = b.n""",
+)
+def positional_zip(spark, sf_dir):
+    """Two tables side by side by position, the longer one to its end; positions by bucketed ranks."""
+    one = F.lit("all").alias("one")
+    order = lambda c: F.lpad(F.col(c).cast("string"), 12, "0")
+    left = _table(spark, sf_dir, "orders").select(one, order("o_orderkey").alias("o"), "o_orderkey")
+    right = _table(spark, sf_dir, "customer").select(one, order("c_custkey").alias("c"), "c_custkey")
+    left = left.join(graph.ranked(left, ["one"], "o", "position"), ["one", "o"]).select("position", "o_orderkey")
+    right = right.join(graph.ranked(right, ["one"], "c", "position"), ["one", "c"]).select("position", "c_custkey")
+    return left.join(right, "position", "full_outer").fillna(-1).select("position", "o_orderkey", "c_custkey")
+
+
+@query(
+    "first_examples",
+    LOG + "SELECT site, seq, logid FROM log WHERE event_type = 'error' QUALIFY row_number() OVER (PARTITION BY site ORDER BY seq) <= 30",
+)
+def first_examples(spark, sf_dir):
+    """The first thirty defects of each site: a report."""
+    return quality.examples(_log(spark, sf_dir).where("event_type = 'error'").select("site", "seq", "logid"))
+
+
+@query("code_labels", "SELECT o_orderstatus AS code, string_agg(DISTINCT o_orderpriority, ';' ORDER BY o_orderpriority) AS labels FROM orders GROUP BY 1")
+def code_labels(spark, sf_dir):
+    """The set of labels of each code."""
+    rows = _table(spark, sf_dir, "orders").groupBy(F.col("o_orderstatus").alias("code"))
+    return rows.agg(F.array_join(F.array_sort(F.collect_set("o_orderpriority")), ";").alias("labels"))
+
+
+@query(
+    "numeric_text_order",
+    """SELECT s_name, row_number() OVER (ORDER BY length(ltrim(k, '0')), ltrim(k, '0'), k) AS place FROM (SELECT s_name, CAST(s_suppkey * 7919 % 1000 AS VARCHAR) || CAST(s_suppkey AS VARCHAR) AS k FROM supplier)""",
+)
+def numeric_text_order(spark, sf_dir):
+    """Digit strings in numeric order whatever their width."""
+    from pyspark.sql import Window as W
+
+    key = F.concat((F.col("s_suppkey") * 7919 % 1000).cast("string"), F.col("s_suppkey").cast("string"))
+    return _table(spark, sf_dir, "supplier").select("s_name", F.row_number().over(W.orderBy(*scalars.numeric_text_order(key))).cast("long").alias("place"))
+
+
 def queries() -> dict[str, Query]:
     return dict(_QUERIES)
 

@@ -95,3 +95,11 @@ def rename_resolution(renames: DataFrame) -> DataFrame:
 
 def audit_csv(audit: DataFrame, path: str, force: bool = False) -> None:
     in_audit_order(audit).write.mode("overwrite" if force else "errorifexists").options(**CSV).csv(path)
+
+
+def write_report(report: dict[str, DataFrame], path: str) -> None:
+    """A report of small tables (one row per site at most) as one JSON file."""
+    import json
+    from pathlib import Path
+
+    Path(path).write_text(json.dumps({name: [json.loads(r) for r in table.toJSON().collect()] for name, table in report.items()}, indent=1, sort_keys=True))
