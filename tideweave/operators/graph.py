@@ -12,15 +12,15 @@ from tideweave.operators.resolve import RESOLVED, UNRESOLVED
 RECEIVED = [f"received_{r}" for r in RESOLVED] + ["received_other_resolved"] + [f"received_synthetic_{u}" for u in UNRESOLVED] + ["received_synthetic_other_unresolved"]
 
 
-def ranked(values: DataFrame, partition: list[str], order: str, name: str) -> DataFrame:
+def ranked(values: DataFrame, partition: list[str], order: str, name: str, prefix: int = 3) -> DataFrame:
     """Distinct (partition, order) with their 1-based rank in byte order.
 
-    Ranks are found by range partitions and running totals over partitions, so no site's values
-    meet in one task.
+    Values are bucketed by their first ``prefix`` bytes; ranks within a bucket are shifted by the
+    sizes of the buckets before it. So no partition's values meet in one task, if the prefix tells
+    them apart well enough.
     """
     distinct = values.select(*partition, order).where(F.col(order).isNotNull()).distinct()
-    # A prefix bucket splits each site; ranks within a bucket are shifted by the buckets before it.
-    bucket = F.substring(F.hex(F.encode(F.col(order), "UTF-8")), 1, 4)
+    bucket = F.substring(F.hex(F.encode(F.col(order), "UTF-8")), 1, 2 * prefix)
     rows = distinct.withColumn("_bucket", bucket)
     inner = W.partitionBy(*partition, "_bucket").orderBy(order)
     sizes = rows.groupBy(*partition, "_bucket").agg(F.count("*").alias("_n"))

@@ -633,8 +633,8 @@ def positional_zip(spark, sf_dir):
     order = lambda c: F.lpad(F.col(c).cast("string"), 12, "0")
     left = _table(spark, sf_dir, "orders").select(one, order("o_orderkey").alias("o"), "o_orderkey")
     right = _table(spark, sf_dir, "customer").select(one, order("c_custkey").alias("c"), "c_custkey")
-    left = left.join(graph.ranked(left, ["one"], "o", "position"), ["one", "o"]).select("position", "o_orderkey")
-    right = right.join(graph.ranked(right, ["one"], "c", "position"), ["one", "c"]).select("position", "c_custkey")
+    left = left.join(graph.ranked(left, ["one"], "o", "position", 9), ["one", "o"]).select("position", "o_orderkey")
+    right = right.join(graph.ranked(right, ["one"], "c", "position", 9), ["one", "c"]).select("position", "c_custkey")
     return left.join(right, "position", "full_outer").fillna(-1).select("position", "o_orderkey", "c_custkey")
 
 
