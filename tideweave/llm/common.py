@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +28,32 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/tideweave/{name}-{uuid.uuid4().hex}"
 
 
+#: Rows of an Arrow batch of texts: the session's default of 10,000 may mean hundreds of MB.
+BATCH_ROWS = 1024
+
+
+def bound_batches(df: DataFrame) -> None:
+    """Lower the session's Arrow batch size for texts, unless the session chose one of its own."""
+    conf, key = df.sparkSession.conf, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if conf.get(key) == "10000":
+        conf.set(key, str(BATCH_ROWS))
+
+
+#: What this Python worker keeps over tasks of one operator.
+CACHES: list[dict] = []
+
+
+def trim(keep: bool = False) -> None:
+    """Give back what earlier tasks of this Python worker have freed, and what other operators kept unless ``keep``."""
+    for cache in () if keep else CACHES:
+        cache.clear()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not glibc
+        pass
+
+
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives executors."""
     spark = df.sparkSession

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideweave.llm.common import fold_of
+from tideweave.llm.common import bound_batches, fold_of
 from tideweave.llm.quality import BUCKETS, _buckets, char_features
 from tideweave.llm.tokens import rows_of
 
@@ -240,6 +240,7 @@ def identify(docs: DataFrame, crf: Crf | None, text: str = "text", doc_id: str =
                 ["doc_id", "held_out", "lang_pred", "score"],
             )
 
+    bound_batches(docs)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), (fold_of(F.col(doc_id)) == 0).alias("held_out"), F.col(text).alias("text"))
     return rows.mapInArrow(predict, "doc_id long, held_out boolean, lang_pred string, score double")
 

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideweave.llm.common import ascii_lower, fold_of, stored
+from tideweave.llm.common import ascii_lower, bound_batches, fold_of, stored, trim
 
 #: Characters of text in a block.
 BLOCK_CHARS = 16 << 20
@@ -59,6 +59,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of documents (token numbers) and of each block's tokens (number, token, training count)."""
     from pyspark import TaskContext
 
+    trim()
     base, done = TaskContext.get().partitionId() << 24, 0
     numbers: dict[bytes, int] = {}
     counts = np.zeros(0, np.int64)
@@ -287,11 +288,18 @@ class Model:
     mixer: Mixer
 
 
-def _token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes | None], np.ndarray]]:
+def _token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """Tokens and their counts, about WORDS_AT_ONCE at a time."""
+    trim()
+    tokens, counts = [], []
     for batch in batches:
-        for at in range(0, batch.num_rows, WORDS_AT_ONCE):
-            part = batch.slice(at, WORDS_AT_ONCE)
-            yield part.column("token").to_pylist(), part.column("n").to_numpy(zero_copy_only=False).astype(float)
+        tokens += batch.column("token").to_pylist()
+        counts.append(batch.column("n").to_numpy(zero_copy_only=False).astype(float))
+        if len(tokens) >= WORDS_AT_ONCE:
+            yield tokens, np.concatenate(counts)
+            tokens, counts = [], []
+    if tokens:
+        yield tokens, np.concatenate(counts)
 
 
 def train(vocabulary: DataFrame, end_count: int) -> Model:
@@ -382,6 +390,7 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held_fold
     own; an empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
+    bound_batches(docs)
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         (fold_of(F.col(doc_id)) == held_fold).alias("held_out"),
@@ -401,11 +410,10 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held_fold
     end_score = float(log10_probabilities([None], code, model.counters, mixer)[0])
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, WORDS_AT_ONCE):
-                part = batch.slice(at, WORDS_AT_ONCE)
-                out = log10_probabilities(part.column("token").to_pylist(), code, shared.value, mixer)
-                yield pa.RecordBatch.from_arrays([part.column("token"), part.column("n"), pa.array(out)], ["token", "n", "score"])
+        for words, n in _token_batches(batches):
+            out = log10_probabilities(words, code, shared.value, mixer)
+            columns = [pa.array(words, pa.binary()), pa.array(n.astype(np.int64)), pa.array(out)]
+            yield pa.RecordBatch.from_arrays(columns, ["token", "n", "score"])
 
     scored = vocabulary.mapInArrow(weigh, "token binary, n long, score double")
     placed = tokens.select(F.col("block").alias("at_block"), "number", "token").join(scored, "token")

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideweave.llm.common import stored
+from tideweave.llm.common import bound_batches, stored, trim
 from tideweave.llm.components import components
 from tideweave.llm.exact_dedup import hit_filter, with_hit
 from tideweave.llm.tokens import rows_of
@@ -259,6 +259,7 @@ def _verify(pairs: DataFrame, sets: DataFrame, weights: Weights) -> DataFrame:
         return hashes, weights.of(hashes, counts)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         for batch in batches:
             a, b = batch.column("a"), batch.column("b")
             left, right = batch.column("left"), batch.column("right")
@@ -333,6 +334,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     kept each time. Rows without a word are in no class with others: class_id is their own doc_id.
     An empty table gives no rows; other columns are ignored.
     """
+    bound_batches(docs)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     counters, n = sketch(rows)
     weights = Weights(levels(counters, n), n)

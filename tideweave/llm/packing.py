@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tideweave.llm.common import parts_for, stored
+from tideweave.llm.common import bound_batches, parts_for, stored
 from tideweave.llm.tokens import WordIds, rows_of
 
 CAPACITY = 4096
@@ -79,7 +79,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, text: st
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordIds.of(tokenizer)
-        for rows in rows_of(batches):
+        for rows in rows_of(batches, keep=True):
             out: list[tuple] = []
             for key, ids in zip(rows["doc_id"], memo.encode(rows["text"]), strict=True):
                 ids += end
@@ -153,6 +153,7 @@ def pack(
     A null or empty text is a piece with the end id only. Rows that repeat a doc_id are documents of
     their own. An empty table gives no rows. Other columns are ignored.
     """
+    bound_batches(docs)
     cut = stored(
         pieces(docs, tokenizer, end_id, capacity, text, doc_id).withColumn("item", F.monotonically_increasing_id()), "pieces"
     )

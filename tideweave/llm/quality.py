@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideweave.llm.common import bound_batches, trim
 from tideweave.llm.tokens import rows_of
 
 #: Fixed values of the base rules.
@@ -288,6 +289,7 @@ def quality(docs: DataFrame, model: Model | None, text: str = "text", doc_id: st
             kinds = [pa.int64()] * 6 + [pa.bool_(), pa.float64(), pa.bool_()]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], NAMES)
 
+    bound_batches(docs)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(score, SCHEMA)
 
@@ -298,10 +300,12 @@ SCHEMA = ", ".join(f"{n} {'boolean' if n in ('base_failed', 'kept') else 'double
 
 def keep_good(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """The rows of ``docs`` that pass, with all their columns: the verdict joins by no key, so repeated ids are safe."""
+    bound_batches(docs)
     fields = docs.schema
     at = docs.columns.index(text)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         words = Words(model)
         for batch in batches:
             for start in range(0, batch.num_rows, 64):

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tideweave.llm.common import parts_for, scratch, stored
+from tideweave.llm.common import bound_batches, parts_for, scratch, stored
 from tideweave.llm.tokens import WordIds, rows_of
 
 BLOCK = 1 << 16
@@ -205,7 +205,7 @@ def write_shards(
 
     def frames(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo, shard = WordIds.of(tokenizer), None
-        for rows in rows_of(batches):
+        for rows in rows_of(batches, keep=True):
             shard = shard or ShardWriter(width)
             ids = [x + end for x in memo.encode(rows["text"])]
             values = np.frombuffer(b"".join(ids), "<u4").astype(f"<u{width}").tobytes()
@@ -220,6 +220,7 @@ def write_shards(
         if shard:
             yield pa.RecordBatch.from_arrays([pa.array(list(shard.end()), pa.binary())], ["frame"])
 
+    bound_batches(docs)
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     chars = rows.agg(F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 16)).first()[0]
     if chars is None:

@@ -15,6 +15,8 @@ from itertools import filterfalse
 import numpy as np
 import pyarrow as pa
 
+from tideweave.llm.common import CACHES, trim
+
 #: Chunks kept per worker, about 120 MB; when it is full, rarer chunks are encoded anew.
 MEMO_WORDS = 600_000
 #: Rows handled at once.
@@ -25,6 +27,7 @@ AT_ONCE, BAR = 512, "|"
 MARKS = b'.,;:!?#$%&*"()-_/+='
 
 _memos: dict[str, WordIds] = {}
+CACHES.append(_memos)
 
 
 def _bytes(ids: list[int]) -> bytes:
@@ -143,8 +146,9 @@ class WordIds(dict):
         return list(map(b"".join, found))
 
 
-def rows_of(batches: Iterator[pa.RecordBatch], rows: int = ROWS) -> Iterator[dict[str, list]]:
-    """The batches' columns as lists, a few rows at a time."""
+def rows_of(batches: Iterator[pa.RecordBatch], rows: int = ROWS, keep: bool = False) -> Iterator[dict[str, list]]:
+    """The batches' columns as lists, a few rows at a time; ``keep``: the worker's memo of words stays."""
+    trim(keep)
     for batch in batches:
         for at in range(0, batch.num_rows, rows):
             yield batch.slice(at, rows).to_pydict()

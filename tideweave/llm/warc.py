@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideweave.llm.common import scratch
+from tideweave.llm.common import bound_batches, scratch, trim
 from tideweave.llm.exact_dedup import compact, hit_filter, memtables, sha256_hex, with_hit
 
 #: Payloads below this are never revisits.
@@ -119,6 +119,7 @@ def write_archives(pages: DataFrame, path: str, segment: int = SEGMENT) -> None:
                 out = [r for x in rows for r in records(x["page_id"], x["url"], (x["html"] or "").encode(), x["digest"], x["refers_to"], segment)]
                 yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], ["record"])
 
+    bound_batches(pages)
     payload = F.coalesce("html", F.lit(""))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", sha256_hex(payload).alias("digest"))
     long = rows.where(F.octet_length(payload) >= MIN_REVISIT)
@@ -178,6 +179,7 @@ _PAGE = pa.schema(
 
 def _segments(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[pa.RecordBatch]:
     """Of all archives, the pages of one record (``whole``) or the segments of the others."""
+    trim()
     for batch in batches:
         for content in batch.column("content"):
             out, size = [], 0
