@@ -173,7 +173,7 @@ def test_token_probabilities_form_a_distribution():
     code = lm.huffman(rng.integers(0, 1000, lm.SYMBOLS))
     counters = rng.integers(0, 1 << 16, lm.OFFSETS[-1]).astype(np.uint16)
     mixer = lm.Mixer(rng.normal(0, 0.4, (lm.GATES, lm.K)), rng.random((lm.GATES, lm.RATES, 2)) * 9)
-    # One-byte tokens end with a mark: compare the first symbol's share by dividing that out is not needed for the end token.
+    # The first symbol of a one-byte token is that byte: its share is the product over the byte's path alone.
     total = 10 ** lm.log10_probabilities([None], code, counters, mixer)[0]
     for byte in set(range(256)) - {lm.MARK}:
         data = [bytes([byte])]
