@@ -197,3 +197,48 @@ def test_language_model_learns(spark, rng):
     rows = {r.doc_id: r for r in lm.score(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
     usual = [r.bits_per_byte for k, r in rows.items() if k < 400 and r.held_out]
     assert np.mean(usual) < 3 and min(rows[k].bits_per_byte for k in range(400, 410) if rows[k].held_out) > np.mean(usual)
+
+
+def test_language_model_knows_word_order(spark, rng):
+    words = sorted({"".join(rng.choices("abcdefgh", k=5)) for _ in range(60)})
+    follow = {w: rng.sample(words, 2) for w in words}
+
+    def fluent(n):
+        out = [rng.choice(words)]
+        while len(out) < n:
+            out.append(rng.choice(follow[out[-1]]))
+        return out
+
+    docs, pairs = [(i, " ".join(fluent(60))) for i in range(300)], []
+    held = [i for i in range(1000, 1400) if zlib.crc32(str(i).encode()) % 5 == 1][:60]
+    for a, b in zip(held[::2], held[1::2], strict=True):
+        text = fluent(60)
+        docs += [(a, " ".join(text)), (b, " ".join(rng.sample(text, len(text))))]
+        pairs.append((a, b))
+    rows = {r.doc_id: r for r in lm.score(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+    assert all(rows[a].score > rows[b].score + 20 for a, b in pairs)
+    assert all(abs(rows[a].base_score - rows[b].base_score) < 1e-6 for a, b in pairs)
+    assert all(rows[a].score > rows[a].base_score for a, _ in pairs)
+
+
+def test_language_model_counts_of_pairs_and_triples(spark, rng):
+    docs = [(i, [rng.choice("abc") for _ in range(rng.randint(0, 12))]) for i in range(60)]
+    df = spark.createDataFrame([(i, " ".join(w)) for i, w in docs], "doc_id long, text string").repartition(3)
+    rows = {r.doc_id: r for r in lm.score(df).collect()}
+    taught = [w for i, w in docs if not rows[i].held_out]
+    grams = collections.Counter()
+    for w in taught:
+        w = [None, None, *w, "END"]
+        for i in range(2, len(w)):
+            grams.update([(w[i],), tuple(w[i - 1 : i + 1]), tuple(w[i - 2 : i + 1])])
+    # Whatever the context, what may follow shares probability 1 (spelling gets what new tokens need).
+    weights = lm.weights_of(rng_sums := np.random.default_rng(1).random((lm.CONTEXTS, lm.PARTS)), 99)
+    assert rng_sums.shape == weights.shape and np.allclose(weights.sum(axis=1), 1)
+    total = sum(n for g, n in grams.items() if len(g) == 1)
+    for u, v in [(None, None), (None, "a"), ("a", "b"), ("c", "c")]:
+        one = np.array([len(taught) if v is None else grams[(v,)]])
+        two = np.array([len(taught) if v is None else grams[(u, v)]])
+        n = lambda g: np.array([grams[g]])
+        shares = [lm.predictions(n((w,)), n((v, w)), n((u, v, w)), one, two, np.zeros(1), total) for w in ("a", "b", "c", "END")]
+        assert np.allclose(sum(shares)[1:], 1)
+    assert rows[docs[0][0]].train_tokens == total

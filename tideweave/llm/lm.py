@@ -1,18 +1,21 @@
-"""Language-model scores by logistic context mixing over the whole corpus.
+"""Language-model scores by context mixing over the whole corpus, in text order.
 
-A token is coded bit by bit: its bytes and an end mark, each along the path of a Huffman code. For
-every bit several predictors look up counters by a hash of their context (the last one to four
+Four predictors of each token are mixed with weights chosen by a gate (how often the last two tokens
+and the last one were seen): its share after the last two tokens, after the last one, and among all
+tokens, and for tokens never taught their spelling. Texts begin with a start mark and close with
+their end. Together they share probability 1 at each place.
+
+Spelling codes a token bit by bit: its bytes and an end mark, each along the path of a Huffman code.
+For every bit several predictors look up counters by a hash of their context (the last one to four
 bytes of the word, all of its beginning, or the place in it); their log-odds are mixed with weights
-chosen by a gate (how much the longest contexts have seen), trained online, and refined by an
-adaptive table of observed rates. Contexts end at the token, so what a token costs depends on the
-token alone: it is computed once for each distinct token of the corpus, not for each occurrence.
+chosen by a gate, trained online, and refined by an adaptive table of observed rates.
 
 * blocks: each task numbers the distinct tokens of blocks of text of bounded size.
-* counts: tokens of training documents are counted exactly over the corpus (vocabulary).
-* counters: every training token adds its count to the hashed counters, whose size is fixed.
-* mixing: weights and refinement are learned from all training tokens. Each is predicted as if one
-  occurrence of it had not been counted, so tokens seen once teach the mixer what new tokens need.
-* scores: the vocabulary is scored, and blocks meet their tokens' counts and scores again by join.
+* counts: tokens, pairs and triples of training documents are counted as keyed rows (``grams``).
+* spelling: every training token adds its count to hashed counters, whose size is fixed.
+* gathering: blocks meet the counts of what they hold. Each training token is predicted as if it had
+  not been counted once, so tokens and pairs seen once teach the weights what new ones need.
+* scores: texts are weighed with the weights summed over all blocks.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tideweave.llm import grams
 from tideweave.llm.common import ascii_lower, bound_batches, fold_of, stored, trim
 
 #: Characters of text in a block.
@@ -48,61 +52,42 @@ WORDS_AT_ONCE = 4096
 CHUNKS = 64
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
-BLOCKS = "block long, doc_id long, held_out boolean, bytes long, ids binary, number int, token binary, n_train long"
+BLOCKS = "block long, doc_ids array<long>, held array<boolean>, bytes array<long>, sizes array<int>, ids binary, tokens binary"
 _BLOCKS = pa.schema(
-    [("block", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("bytes", pa.int64()), ("ids", pa.binary())]
-    + [("number", pa.int32()), ("token", pa.binary()), ("n_train", pa.int64())]
+    [("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held", pa.list_(pa.bool_())), ("bytes", pa.list_(pa.int64()))]
+    + [("sizes", pa.list_(pa.int32())), ("ids", pa.binary()), ("tokens", pa.binary())]
 )
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of documents (token numbers) and of each block's tokens (number, token, training count)."""
+    """One row for each block: its documents, their running token numbers, and its distinct tokens."""
     from pyspark import TaskContext
 
     trim()
     base, done = TaskContext.get().partitionId() << 24, 0
     numbers: dict[bytes, int] = {}
-    counts = np.zeros(0, np.int64)
     docs: list[tuple] = []
+    ids: list[np.ndarray] = []
     chars = 0
 
     def flush() -> pa.RecordBatch:
-        block = base + done
-        n, m = len(docs), len(numbers)
-        none = lambda k, kind: pa.nulls(k, kind)
-        columns = list(zip(*docs, strict=True))
-        both = lambda a, b, kind: pa.concat_arrays([a if isinstance(a, pa.Array) else pa.array(a, kind), b if isinstance(b, pa.Array) else pa.array(b, kind)])
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(n + m, block), pa.int64()),
-                *(both(c, none(m, f.type), f.type) for c, f in zip(columns, list(_BLOCKS)[1:5], strict=True)),
-                both(none(n, pa.int32()), np.fromiter(numbers.values(), np.int32, m), pa.int32()),
-                both(none(n, pa.binary()), list(numbers), pa.binary()),
-                both(none(n, pa.int64()), counts[:m], pa.int64()),
-            ],
-            schema=_BLOCKS,
-        )
+        columns = zip(*docs, strict=True)
+        row = [[base + done], *([list(c)] for c in columns), [grams.pack(np.concatenate(ids))], [b" ".join(numbers)]]
+        return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(row, _BLOCKS, strict=True)], schema=_BLOCKS)
 
     for batch in batches:
         for at in range(0, batch.num_rows, 64):
             rows = batch.slice(at, 64).to_pydict()
             for key, held, data in zip(rows["doc_id"], rows["held_out"], rows["text"], strict=True):
                 words = data.split()
-                new = set(words).difference(numbers)
+                new = dict.fromkeys(w for w in words if w not in numbers)
                 numbers.update(zip(new, range(len(numbers), len(numbers) + len(new)), strict=True))
-                if len(numbers) > len(counts):
-                    counts = np.concatenate((counts, np.zeros(max(len(numbers), 1 << 16), np.int64)))
-                ids = np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))
-                if not held:
-                    counts[: len(numbers)] += np.bincount(ids, minlength=len(numbers)) if len(ids) * 8 > len(numbers) else 0
-                    if len(ids) * 8 <= len(numbers):
-                        np.add.at(counts, ids, 1)
-                docs.append((key, held, len(data), ids.tobytes()))
+                ids.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
+                docs.append((key, held, len(data), len(words)))
                 chars += len(data) + 64
                 if chars > BLOCK_CHARS:
                     yield flush()
-                    numbers, docs, chars, done = {}, [], 0, done + 1
-                    counts = np.zeros(0, np.int64)
+                    numbers, docs, ids, chars, done = {}, [], [], 0, done + 1
     if docs:
         yield flush()
 
@@ -253,13 +238,13 @@ def _bucket(x: np.ndarray) -> np.ndarray:
 CENTRES = 1 / (1 + np.exp(-np.linspace(-LIMIT, LIMIT, RATES)))
 
 
-def log10_probabilities(tokens: list[bytes | None], code: Code, counters: np.ndarray, mixer: Mixer) -> np.ndarray:
-    """log10 of the model's probability of each token."""
+def log10_probabilities(tokens: list[bytes | None], code: Code, counters: np.ndarray, mixer: Mixer, less: bool = False) -> np.ndarray:
+    """log10 of the spelling model's probability of each token; ``less``: as if one occurrence had not been counted."""
     ones = mixer.rates[:, :, 1] + RATE_PRIOR * CENTRES
     refined = (ones / (mixer.rates.sum(axis=2) + RATE_PRIOR)).ravel()
     total = np.zeros(len(tokens))
     for owner, bit, slots in steps(tokens, code):
-        odds, gate = _inputs(counters, slots, None)
+        odds, gate = _inputs(counters, slots, bit if less else None)
         x = _mixed(odds, gate, mixer.weights)
         p = 0.5 / (1 + np.exp(-x)) + 0.5 * refined[gate * RATES + _bucket(x)]
         total += np.bincount(owner, np.log10(np.where(bit, p, 1 - p)), len(tokens))
@@ -381,6 +366,58 @@ def _count_end(counters: np.ndarray, code: Code, n: int) -> None:
             counters[slot] = quantise(ones).astype(np.uint16) << 8 | quantise(zeros)
 
 
+#: Predictors of a token: spelling, token, after one token, after two; and steps of how often a context was seen.
+PARTS, STEPS = 4, np.array([1, 2, 3, 5, 9, 17, 65, 257, 4097])
+CONTEXTS = (len(STEPS) + 1) ** 2
+ROUNDS, WEIGHT_PRIOR, AT_ONCE = 4, 0.05, 1 << 18
+
+
+def context_gate(two: np.ndarray, one: np.ndarray) -> np.ndarray:
+    """The gate of a place, by how often its last two tokens and its last token were seen."""
+    return np.searchsorted(STEPS, two, side="right") * (len(STEPS) + 1) + np.searchsorted(STEPS, one, side="right")
+
+
+def weights_of(sums: np.ndarray, total: float) -> np.ndarray:
+    """Weights by gate from what each predictor explained there; contexts never seen get none."""
+    gates = np.arange(CONTEXTS)
+    can = np.stack([np.ones(CONTEXTS), np.full(CONTEXTS, total > 0), gates % (len(STEPS) + 1) > 0, gates // (len(STEPS) + 1) > 0], 1)
+    weights = (sums + WEIGHT_PRIOR) * can
+    return weights / weights.sum(axis=1, keepdims=True)
+
+
+def predictions(c1: np.ndarray, c2: np.ndarray, c3: np.ndarray, one: np.ndarray, two: np.ndarray, spelled: np.ndarray, total: float, less: int = 0) -> np.ndarray:
+    """Each predictor's probability of the tokens; ``less`` = 1: as if each had not been counted once."""
+    share = lambda n, of: np.maximum(n - less, 0) / np.maximum(of - less, 1)
+    return np.stack([np.where(c1 > less, 0.0, spelled), share(c1, np.float64(total)), share(c2, one), share(c3, two)])
+
+
+def before(c1: np.ndarray, c2: np.ndarray, place: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
+    """How often the last token and the last two were seen; the start of a text precedes each."""
+    one, two = np.full_like(c1, texts), np.full_like(c2, texts)
+    one[1:], two[1:] = c1[:-1], c2[:-1]
+    one[place == 0], two[place == 0] = texts, texts
+    return one, two
+
+
+def explain(parts: np.ndarray, gate: np.ndarray, total: float) -> np.ndarray:
+    """What each predictor explains of the tokens, by gate, under weights fitted to them by expectation maximisation."""
+    sums = np.zeros((CONTEXTS, PARTS))
+    for _ in range(ROUNDS):
+        weights, sums = weights_of(sums, total), np.zeros((CONTEXTS, PARTS))
+        for at in range(0, len(gate), AT_ONCE):
+            g = gate[at : at + AT_ONCE]
+            share = weights[g].T * parts[:, at : at + AT_ONCE]
+            share /= np.maximum(share.sum(axis=0), 1e-300)
+            for k in range(PARTS):
+                sums[:, k] += np.bincount(g, share[k], CONTEXTS)
+    return sums
+
+
+FEATURES = "doc_ids array<long>, held array<boolean>, bytes array<long>, sizes array<int>, c1 binary, c2 binary, c3 binary, spelled binary, sums array<double>"
+RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
+DOCS_AT_ONCE = 256
+
+
 def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held_fold: int = 1) -> DataFrame:
     """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
 
@@ -397,56 +434,114 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held_fold
         ascii_lower(F.col(text)).cast("binary").alias("text"),
     )
     blocks = stored(rows.mapInArrow(_blocks, BLOCKS), "blocks")
-    texts = blocks.where("ids IS NOT NULL").select("block", "doc_id", "held_out", "bytes", "ids")
-    tokens = blocks.where("number IS NOT NULL").select("block", "number", "token", "n_train")
-    vocabulary = stored(tokens.groupBy("token").agg(F.sum("n_train").alias("n")), "vocabulary")
-    known = vocabulary.where("n > 0")
-    ends = texts.where("NOT held_out").count()
-    words, distinct = known.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    total, distinct = words + ends, distinct + (ends > 0)
+    sizes = blocks.select(F.explode(F.arrays_zip("held", "sizes")).alias("d")).select("d.held", "d.sizes")
+    taught = F.when(~F.col("held"), F.col("sizes"))
+    ends, words, occurrences = sizes.agg(F.count(taught), F.coalesce(F.sum(taught), F.lit(0)), F.coalesce(F.sum(F.col("sizes") + 1), F.lit(0))).first()
+    total = words + ends
+    # Blocks repeat few of their tokens' keys: a fifth of the occurrences is ample for the number of shards.
+    token_counts = stored(grams.corpus_counts(blocks, "token", occurrences // 5), "tokens")
+    gram_counts = grams.corpus_counts(blocks, "gram", 2 * occurrences)
+
+    def own(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        """The tokens that this block is the first to teach, and their corpus counts."""
+        tokens = left["tokens"].iloc[0].split()
+        found = grams.merged(right)
+        mine = np.flatnonzero(found & 1)
+        order = np.argsort(grams.token_keys(tokens))
+        return pd.DataFrame({"token": [tokens[i] for i in order[mine]], "n": found[mine] >> 1})
+
+    by_block = lambda df: df.groupBy("block")
+    vocabulary = by_block(blocks.select("block", "tokens")).cogroup(by_block(token_counts)).applyInPandas(own, "token binary, n long")
+    known = stored(vocabulary, "vocabulary")
+    distinct = known.count() + (ends > 0)
     model = train(known, ends)
     code, mixer = model.code, model.mixer
     shared = spark.sparkContext.broadcast(model.counters)
-    end_score = float(log10_probabilities([None], code, model.counters, mixer)[0])
+    end_spelled = float(10 ** log10_probabilities([None], code, model.counters, mixer)[0])
 
-    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for words, n in _token_batches(batches):
-            out = log10_probabilities(words, code, shared.value, mixer)
-            columns = [pa.array(words, pa.binary()), pa.array(n.astype(np.int64)), pa.array(out)]
-            yield pa.RecordBatch.from_arrays(columns, ["token", "n", "score"])
+    def mass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        x = sum((float((10 ** log10_probabilities(words, code, shared.value, mixer)).sum()) for words, _ in _token_batches(batches)), 0.0)
+        yield pa.RecordBatch.from_arrays([pa.array([x])], ["x"])
 
-    scored = vocabulary.mapInArrow(weigh, "token binary, n long, score double")
-    placed = tokens.select(F.col("block").alias("at_block"), "number", "token").join(scored, "token")
-    per_token = lambda n: np.log10((n + 0.5) / (total + 0.5 * (distinct + 1)))
-    end_base = float(per_token(ends))
+    # Only unknown tokens are spelled, so they share what spelling leaves to them.
+    spent = known.mapInArrow(mass, "x double").agg(F.coalesce(F.sum("x"), F.lit(0.0))).first()[0]
+    left_over = max(1 - spent - (end_spelled if ends else 0), 1e-9)
 
     def gather(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        numbers = int(right["number"].max()) + 1 if len(right) else 0
-        n, own = np.zeros(numbers), np.zeros(numbers)
-        n[right["number"]], own[right["number"]] = right["n"], right["score"]
-        base, known = per_token(n), n > 0
-        out = []
-        for key, held, size, blob in zip(left["doc_id"], left["held_out"], left["bytes"], left["ids"], strict=True):
-            ids = np.frombuffer(blob, np.int32)
-            model_score = own[ids].sum() + end_score
-            out.append(
-                (
-                    key,
-                    held,
-                    len(ids) + 1,
-                    int(known[ids].sum()) + (ends > 0),
-                    total,
-                    base[ids].sum() + end_base,
-                    model_score,
-                    -model_score / np.log10(2) / (size + 1),
-                )
-            )
-        frame = pd.DataFrame(out, columns=NAMES)
-        frame["doc_id"] = frame["doc_id"].astype("Int64")
-        return frame
-
-    schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
-    return texts.groupBy("block").cogroup(placed.select("at_block", "number", "n", "score").groupBy("at_block")).applyInPandas(gather, schema)
+        """Counts of each token of the block's texts and of its contexts, and what they teach about weights."""
+        row = left.iloc[0]
+        block = grams.block_of(row)
+        names = block.tokens
+        known_n = np.full(block.end + 1, ends)
+        known_n[np.argsort(block.token_keys())] = grams.merged(right[right["kind"] == 1]) >> 1
+        c1 = known_n[block.numbers]
+        pair, triple = block.gram_keys()
+        every, found = np.unique(np.concatenate((pair, triple))), grams.merged(right[right["kind"] == 2]) >> 1
+        c2, c3 = found[np.searchsorted(every, pair)], found[np.searchsorted(every, triple)]
+        del pair, triple, every, found
+
+        def spelled(which: np.ndarray, less: bool) -> np.ndarray:
+            out = np.zeros(block.end + 1)
+            for at in range(0, len(which), WORDS_AT_ONCE):
+                some = which[at : at + WORDS_AT_ONCE]
+                tokens = [None if i == block.end else names[i] for i in some]
+                out[some] = np.minimum(10 ** log10_probabilities(tokens, code, shared.value, mixer, less) / left_over, 1)
+            return out
+
+        one, two = before(c1, c2, block.place, ends)
+        train_at = np.flatnonzero(block.train)
+        sums = np.zeros((CONTEXTS, PARTS))
+        if len(train_at):
+            once = np.unique(block.numbers[train_at[c1[train_at] == 1]])
+            lone = spelled(once, True)
+            at = train_at
+            parts = predictions(c1[at], c2[at], c3[at], one[at], two[at], lone[block.numbers[at]], total, 1)
+            sums = explain(parts, context_gate(two[at] - 1, one[at] - 1), total - 1)
+            del parts
+        new = spelled(np.unique(block.numbers[c1 == 0]), False)[block.numbers]
+        out = [(None,) * 8 + (sums.ravel().tolist(),)]
+        limits = np.append(block.starts, len(c1))
+        lists = [list(row[c]) for c in ("doc_ids", "held", "bytes", "sizes")]
+        for i in range(0, len(block.starts), DOCS_AT_ONCE):
+            j = min(i + DOCS_AT_ONCE, len(block.starts))
+            a, b = limits[i], limits[j]
+            ids = [None if k is None or k != k else int(k) for k in lists[0][i:j]]
+            out.append((ids, *(x[i:j] for x in lists[1:]), *(grams.pack(x[a:b]) for x in (c1, c2, c3)), new[a:b][c1[a:b] == 0].tobytes(), None))
+        return pd.DataFrame(out, columns=["doc_ids", "held", "bytes", "sizes", "c1", "c2", "c3", "spelled", "sums"])
+
+    counts = token_counts.select("block", F.lit(1).alias("kind"), "shard", "found").unionAll(gram_counts.select("block", F.lit(2).alias("kind"), "shard", "found"))
+    features = stored(by_block(blocks).cogroup(by_block(counts)).applyInPandas(gather, FEATURES), "features")
+    explained = features.where("sums IS NOT NULL").select(F.posexplode("sums").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x")).collect()
+    sums = np.zeros(CONTEXTS * PARTS)
+    for r in explained:  # the weights' size
+        sums[r.at] = r.x
+    weights = weights_of(sums.reshape(CONTEXTS, PARTS), total)
+
+    def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in batch.to_pylist():
+                yield _scored(row, weights, total, distinct, ends)
+
+    return features.where("sums IS NULL").drop("sums").mapInArrow(weigh, RESULT)
+
+
+def _scored(row: dict, weights: np.ndarray, total: int, distinct: int, ends: int) -> pa.RecordBatch:
+    lengths = np.array(row["sizes"], np.int64) + 1
+    starts = np.cumsum(lengths) - lengths
+    c1, c2, c3 = (grams.unpack(row[c]) for c in ("c1", "c2", "c3"))
+    place = np.arange(len(c1)) - np.repeat(starts, lengths)
+    spelled = np.zeros(len(c1))
+    spelled[c1 == 0] = np.frombuffer(row["spelled"])
+    one, two = before(c1, c2, place, ends)
+    parts = predictions(c1, c2, c3, one, two, spelled, total)
+    p = np.einsum("kn,nk->n", parts, weights[context_gate(two, one)])
+    by_text = lambda x: np.add.reduceat(x, starts)
+    model_score = by_text(np.log10(np.maximum(p, 1e-300)))
+    base = by_text(np.log10((c1 + 0.5) / (total + 0.5 * (distinct + 1))))
+    bits = -model_score / np.log10(2) / (np.array(row["bytes"]) + 1)
+    columns = [row["doc_ids"], row["held"], lengths, by_text((c1 > 0).astype(np.int64)), np.full(len(lengths), total), base, model_score, bits]
+    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], NAMES)
 
 
 NAMES = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
