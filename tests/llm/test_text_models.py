@@ -114,6 +114,22 @@ def test_pseudonyms(spark, odd, empty):
     assert pii.pseudonymise(odd).count() == odd.count() and pii.pseudonymise(empty).count() == 0
 
 
+def test_pseudonyms_of_cards_beside_other_numbers_and_of_plain_phones(spark):
+    card = "4111 1111 1111 1111"
+    texts = [f"{card} 05/27", "4111111111111111 123", f"12 {card}", f"123 456 {card} 99", f"{card} 5500 0000 0000 0004", f"{card} 12/05/2027", f"{card} 10.20.30.40"]
+    texts += ["call 1-202-555-0143", "call 202 555 0143 now", "call 202-555-0143", "no 4111 1111 1111 1112 here"]
+    rows = pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.n_card for r in rows] == [1, 1, 1, 1, 2, 1, 1, 0, 0, 0, 0]
+    assert [(r.n_phone, r.n_date, r.n_ip) for r in rows] == [(0, 0, 0)] * 5 + [(0, 1, 0), (0, 0, 1)] + [(1, 0, 0)] * 3 + [(0, 0, 0)]
+    plain = lambda r: re.sub(r"\D", "", r.text)
+    alone = plain(rows[4])[:16]
+    assert luhn(alone) and alone != "4111111111111111" and luhn(plain(rows[4])[16:]) and plain(rows[4])[16:] != "5500000000000004"
+    assert plain(rows[0]) == alone + "0527" and plain(rows[1]) == alone + "123" and plain(rows[2]) == "12" + alone and plain(rows[3]) == "123456" + alone + "99"
+    assert rows[7].text.startswith("call 1-") and rows[7].text != texts[7] and rows[8].text != texts[8]
+    assert rows[10].text == texts[10] and not rows[10].changed
+    assert plain(rows[7])[1:] == plain(rows[8]) == plain(rows[9])
+
+
 def tongue(rng, sounds, n):
     return " ".join("".join(rng.choices(sounds, k=rng.randint(1, 4))) for _ in range(n))
 

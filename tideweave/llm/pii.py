@@ -7,9 +7,9 @@ stored: the key is all that links them. E-mail addresses and quoted secrets are
 by character within each character's class.
 
 kind    validated by                              permuted
-card    13 to 19 digits, Luhn check               all digits but the check digit, which is made anew
+card    13 to 19 digits of a run, Luhn check      all digits but the check digit, which is made anew
 ssn     area, group and serial in range           the valid numbers
-phone   + and country code, or (area) number      the digits after the country code
+phone   + and country code, (area) number, 3-3-4  the digits after the country code
 ip      four octets of 0 to 255                   all 32-bit addresses
 date    a day from 1900 to 2099                   those days; the written form stays
 iban    length and check digits (mod 97)          letters and digits after the check digits, made anew
@@ -37,8 +37,12 @@ SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 #: In one piece, or in groups of four of which those after the first hold a digit (words in capitals may follow).
 _GROUPS = r"(?: [A-Z0-9]{4})(?: (?=[A-Z]{0,3}\d)[A-Z0-9]{4}){2,6}(?: (?=[A-Z]{0,2}\d)[A-Z0-9]{1,3})?"
 IBAN = rf"(?<![A-Za-z0-9])[A-Z]{{2}}\d{{2}}(?:[A-Z0-9]{{11,30}}|{_GROUPS})(?![A-Za-z0-9])"
-PHONE = r"(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])|(?<!\d)(?:\+\d{1,3}[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}(?!\d)|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4}(?!\d)"
-CARD = r"(?<![\d-])\d(?:[ -]?\d){12,18}(?![\d-])"
+_LOCAL = r"\d{3}[.-]\d{3}[.-]\d{4}|[2-9]\d{2} [2-9]\d{2} \d{4}"
+PHONE = rf"(?<![\d-])(?<!\d )(?:1[ .-])?(?:{_LOCAL})(?![\d-]| \d)|(?<![\d-])\d{{3}}[.-]\d{{3}}[.-]\d{{4}}(?![\d-])|(?<!\d)(?:\+\d{{1,3}}[ .-]?)?\(\d{{3}}\)[ .-]?\d{{3}}[ .-]?\d{{4}}(?!\d)|\+\d{{1,3}}(?:[ .-]?\d{{2,4}}){{2,4}}(?!\d)"
+#: What begins another value isn't taken into a run of digits.
+_OTHER = r"(?!\d{4}-\d{2}-\d{2}(?!\d)|\d{2}[/.]\d{2}[/.]\d{4}(?!\d)|\d{1,3}(?:\.\d{1,3}){3}(?!\d)|\d{3}-\d{2}-\d{4}(?!\d)|\d{3}[.-]\d{3}[.-]\d{4}(?!\d))"
+#: A run of up to two cards' digits: cards are looked for between its separators, as other numbers may stand beside them.
+CARD = rf"(?<![\d-])\d(?:(?:[ -]{_OTHER})?\d){{12,37}}(?![\d-])"
 ANY = "|".join((EMAIL, SECRET, IBAN, ISO, SLASH, IP, SSN, PHONE, CARD))
 KINDS = ("card", "iban", "ssn", "phone", "ip", "date", "email", "secret")
 FIRST_DAY, DAYS = "1900-01-01", 73_049
@@ -106,16 +110,46 @@ def luhn_sum(digits: Column, double_last: bool) -> Column:
     return F.aggregate(places, F.lit(0), lambda s, i: s + worth(i))
 
 
-def _card(m: Column, key: str) -> tuple[Column, Column]:
+def _one_card(m: Column, key: str) -> Column:
     digits = _digits(m)
     n = F.length(digits)
-    valid = n.between(13, 19) & (F.pmod(luhn_sum(digits, False), F.lit(10)) == 0)
     body = digits.substr(F.lit(1), n - 1)
     new = F.lit(None).cast("string")
     for k in range(12, 19):
         new = F.when(n == k + 1, F.lpad(permute(body.cast("long"), 10**k, key, f"card{k}").cast("string"), k, "0")).otherwise(new)
     check = F.pmod(10 - F.pmod(luhn_sum(new, True), F.lit(10)), F.lit(10))
-    return valid, _pour(m, F.concat(new, check.cast("string")))
+    return _pour(m, F.concat(new, check.cast("string")))
+
+
+def _card(m: Column, key: str) -> tuple[Column, Column, Column]:
+    """From left to right, the longest valid card that begins at each separator."""
+    groups = F.regexp_extract_all(m, F.lit(r"\d+[ -]?"), F.lit(0))
+    n = F.size(groups)
+
+    def joined(i: Column, j: Column) -> Column:
+        return F.array_join(F.slice(groups, i + 1, j - i + 1), "")
+
+    def is_card(text: Column) -> Column:
+        digits = _digits(text)
+        return F.when(F.length(digits).between(13, 19), F.pmod(luhn_sum(digits, False), F.lit(10)) == 0).otherwise(False)
+
+    def step(s: Column, i: Column) -> Column:
+        # The last group of the longest card, or nothing.
+        ends = F.when(i >= s["next"], F.filter(F.sequence(F.least(i + 18, n - 1), i, F.lit(-1)), lambda j: is_card(joined(i, j))))
+        end = F.coalesce(F.get(ends, F.lit(0)), F.lit(-1))
+        return F.struct(
+            F.when(end >= 0, F.array_append(s["spans"], F.struct(i.alias("a"), end.alias("b"))))
+            .when(i >= s["next"], F.array_append(s["spans"], F.struct(i.alias("a"), F.lit(-1).alias("b"))))
+            .otherwise(s["spans"])
+            .alias("spans"),
+            F.when(end >= 0, end + 1).otherwise(s["next"]).alias("next"),
+        )
+
+    start = F.struct(F.array().cast("array<struct<a:int,b:int>>").alias("spans"), F.lit(0).alias("next"))
+    spans = F.aggregate(F.sequence(F.lit(0), n - 1), start, step, lambda s: s["spans"])
+    cards = F.size(F.filter(spans, lambda x: x["b"] >= 0))
+    made = F.transform(spans, lambda x: F.when(x["b"] >= 0, _one_card(joined(x["a"], x["b"]), key)).otherwise(F.get(groups, x["a"])))
+    return cards > 0, F.array_join(made, ""), cards
 
 
 def _ssn(m: Column, key: str) -> tuple[Column, Column]:
@@ -132,7 +166,7 @@ def _ssn(m: Column, key: str) -> tuple[Column, Column]:
 
 
 def _phone(m: Column, key: str) -> tuple[Column, Column]:
-    country = F.regexp_extract(m, r"^(\+\d{1,3})(?=[ .(-])", 1)
+    country = F.regexp_extract(m, r"^(\+\d{1,3}(?=[ .(-])|1(?=[ .-]))", 1)
     country = F.when((country == "") & m.startswith("+"), F.substring(m, 1, 3)).otherwise(country)
     rest = m.substr(F.length(country) + 1, F.length(m))
     digits = _digits(rest)
@@ -239,7 +273,7 @@ def _secret(m: Column, key: str) -> tuple[Column, Column]:
 
 
 def pseudonym(m: Column, key: str) -> Column:
-    """struct(kind, text) of one match; kind is null and the text unchanged if it isn't valid."""
+    """struct(kind, text, n) of one match; kind is null and the text unchanged if it isn't valid, n is how many values it holds."""
     whole = lambda pattern: m.rlike(f"^(?:{pattern})$")
     forms = (
         ("email", m.contains("@") & whole(EMAIL), _email),
@@ -247,16 +281,17 @@ def pseudonym(m: Column, key: str) -> Column:
         ("iban", whole(r"[A-Z]{2}\d{2}[A-Z0-9 ]+"), _iban),
         ("ip", whole(r"\d{1,3}(?:\.\d{1,3}){3}"), _ip),
         ("ssn", whole(r"\d{3}-\d{2}-\d{4}"), _ssn),
-        ("card", whole(r"\d(?:[ -]?\d){12,18}"), _card),
-        ("phone", m.startswith("+") | m.startswith("(") | whole(r"\d{3}[.-]\d{3}[.-]\d{4}"), _phone),
+        ("card", whole(r"\d(?:[ -]?\d){12,37}"), _card),
+        ("phone", m.startswith("+") | m.startswith("(") | whole(rf"(?:1[ .-])?(?:{_LOCAL})"), _phone),
         ("secret", F.lit(True), _secret),
     )
-    kind, text = F.lit(None).cast("string"), m
+    kind, text, n = F.lit(None).cast("string"), m, F.lit(1)
     for name, shape, make in reversed(forms):
-        valid, new = make(m, key)
+        valid, new, *many = make(m, key)
+        n = F.when(shape, many[0]).otherwise(n) if many else n
         kind = F.when(shape, F.when(valid, F.lit(name))).otherwise(kind)
         text = F.when(shape, F.when(valid, new).otherwise(m)).otherwise(text)
-    return F.struct(kind.alias("kind"), text.alias("text"))
+    return F.struct(kind.alias("kind"), text.alias("text"), n.alias("n"))
 
 
 def pseudonymise(docs: DataFrame, key: str = "tideweave", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -276,7 +311,7 @@ def pseudonymise(docs: DataFrame, key: str = "tideweave", text: str = "text", do
     joined = F.array_join(
         F.transform(between, lambda part, i: F.concat(part, F.coalesce(F.get(F.col("made.text"), i), F.lit("")))), ""
     )
-    count = lambda kind: F.coalesce(F.size(F.filter("made.kind", lambda k: k == kind)), F.lit(0))
+    count = lambda kind: F.aggregate(F.filter("made", lambda x: x["kind"] == kind), F.lit(0), lambda s, x: s + x["n"])
     counts = [F.when(F.col("made").isNull(), 0).otherwise(count(k)).cast("long").alias(f"n_{k}") for k in KINDS]
     made = F.when(F.col("made").isNull(), F.col("text")).otherwise(joined)
     out = rows.select("doc_id", made.alias("text"), *counts)
