@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pytest
 from tokenizers import Tokenizer
 
 from tideweave.llm import packing, sstable
@@ -104,3 +105,11 @@ def test_shard_lookup(rng):
     for k in range(-5100, 50_100, 37):
         found = reader.get(k)
         assert (found is None) == (k not in values) and (found is None or found.tobytes() == values[k])
+
+
+def test_ids_that_do_not_fit_are_an_error(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "one two")], "doc_id long, text string")
+    sstable.write_shards(docs, str(tmp_path / "wide"), TOKENIZER, end_id=70_000, width=4)
+    assert sstable.read_shards(spark, str(tmp_path / "wide")).count() == 1
+    with pytest.raises(Exception, match="does not fit 2 bytes"):
+        sstable.write_shards(docs, str(tmp_path / "narrow"), TOKENIZER, end_id=70_000)

@@ -198,7 +198,8 @@ def write_shards(
 ) -> None:
     """Write all documents to shards in ``path``, by ascending doc_id (nulls first, equal ids by a hash of text).
 
-    ``width``: bytes of an id, 2 for vocabularies of at most 65,536 ids. A shard has about
+    ``width``: bytes of an id, 2 for vocabularies of at most 65,536 ids; an id that does not
+    fit is an error. A shard has about
     ``shard_text`` bytes of text. An empty table gives an empty folder.
     """
     end = end_id.to_bytes(4, "little")
@@ -208,7 +209,10 @@ def write_shards(
         for rows in rows_of(batches, keep=True):
             shard = shard or ShardWriter(width)
             ids = [x + end for x in memo.encode(rows["text"])]
-            values = np.frombuffer(b"".join(ids), "<u4").astype(f"<u{width}").tobytes()
+            wide = np.frombuffer(b"".join(ids), "<u4")
+            if len(wide) and int(wide.max()) >> 8 * width:
+                raise ValueError(f"id {wide.max()} does not fit {width} bytes; give a larger width")
+            values = wide.astype(f"<u{width}").tobytes()
             at, out = 0, []
             for key, x in zip(rows["doc_id"], ids, strict=True):
                 size = len(x) // 4 * width
