@@ -329,8 +329,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     """One row per row of ``docs``: doc_id, class_id, class_size, links, kept.
 
     class_id is the least doc_id of the class (null only if all its ids are null) and class_size its
-    rows. Rows with equal words (case aside) are of one class. ``links``: verified links of the row's
-    text to other texts. ``kept``: the row with the class's least doc_id; of repeated ids the row is
+    rows. Rows with equal words (case aside) are of one class. ``links``: pairs of the row's text
+    with others that were compared and verified; members of a class already connected are not compared,
+    so it may be far below the number of its near copies. ``kept``: the row with the class's least doc_id; of repeated ids the row is
     kept each time. Rows without a word are in no class with others: class_id is their own doc_id.
     An empty table gives no rows; other columns are ignored.
     """
