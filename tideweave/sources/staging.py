@@ -2,19 +2,54 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def staged(df: DataFrame) -> DataFrame:
+def new_path(spark: SparkSession, name: str) -> str:
+    """A new path in the session's ``spark.checkpoint.dir``.
+
+    Where that is unset, a folder of our own serves a local master; on a cluster it would be another
+    one on each machine, so that is an error.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = f"{tempfile.gettempdir()}/checkpoints"
+    return f"{root.rstrip('/')}/tideweave/{name}-{uuid.uuid4().hex}"
+
+
+def _file(spark: SparkSession, path: str):
+    file = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return file.getFileSystem(spark._jsc.hadoopConfiguration()), file
+
+
+def staged(df: DataFrame, name: str = "staged", **options: str) -> DataFrame:
     """Write ``df`` as Parquet and read it back: cuts its plan and lineage, and survives lost executors.
 
-    The folder is the session's ``spark.checkpoint.dir``; our own only where that is unset.
+    The table goes when it is released, or when the session ends.
     """
     spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"{tempfile.gettempdir()}/checkpoints"
-    path = f"{root.rstrip('/')}/tideweave/staged-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    path = new_path(spark, name)
+    df.write.options(**options).parquet(path)
+    return opened(spark, path, df)
+
+
+def opened(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    """A table written to ``path`` with the columns of ``like``; it goes when the session ends."""
+    system, file = _file(spark, path)
+    system.deleteOnExit(file)
+    found = spark.read.schema(like.schema).parquet(path)
+    found.staged_at = path
+    return found
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for table in tables:
+        system, file = _file(table.sparkSession, table.staged_at)
+        system.delete(file, True)
