@@ -29,6 +29,15 @@ def test_memo_equals_library(rng):
             assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
 
 
+def test_memo_equals_library_beside_special_tokens(rng):
+    pieces = ["<|", "|>", "<|endoftext|>", "<|STARTOFTEXT|>", "|", "||", "<", "Hello", "World", "é", "e\u0301", "\u1e9b\u0323", "İ", "A", "a.B", "'S", "7x", "\x00", "\x85", "\u200b"]
+    pieces += [" "] * 8 + ["\n", "\t"] + sentence(rng, 6).split() + sentence(rng, 6).upper().split()
+    texts = ["let x = f <| Hello World", "<|im_start|>User Hello there"] + ["".join(rng.choices(pieces, k=rng.randint(1, 24))) for _ in range(20_000)]
+    library = Tokenizer.from_file(TOKENIZER).encode_batch(texts, add_special_tokens=False)
+    found = WordIds(TOKENIZER).encode([t.encode() for t in texts])
+    assert [t for t, ids, e in zip(texts, found, library, strict=True) if np.frombuffer(ids, "<u4").tolist() != e.ids] == []
+
+
 def test_open_bins_take_the_tightest_and_close_the_fullest():
     bins = packing.OpenBins(10, 2)
     assert [bins.put(n) for n in (6, 7, 3, 4)] == [(0, 0), (1, 0), (1, 7), (0, 6)]

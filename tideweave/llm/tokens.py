@@ -91,8 +91,10 @@ class WordIds(dict):
         odd = [c for c in chunks if b"|" in c]
         self.update(zip(odd, self._ids([c.decode() for c in odd]), strict=True))
         if self._letters:
-            self._join([c for c in chunks if c.isalpha()], self._letters)
-            self._join([c for c in chunks if not c.isalpha() and b"|" not in c], self._batch)
+            # The light copy folds no case, and texts with special tokens are not folded beforehand.
+            light = [c.isalpha() and c.islower() for c in chunks]
+            self._join([c for c, x in zip(chunks, light, strict=True) if x], self._letters)
+            self._join([c for c, x in zip(chunks, light, strict=True) if not x and b"|" not in c], self._batch)
         else:
             self._join([c for c in chunks if b"|" not in c], self._batch)
 
