@@ -61,26 +61,68 @@ def test_broken_archives_are_reported(spark, tmp_path):
     assert found == {1: None, 2: "segments missing or repeated", 3: "segments missing or repeated", 4: "total length differs", 5: "payload differs from its digest"}
 
 
-def test_targets_stop_at_twice_the_size():
-    sizes = {"b": 10, "a": 1000, None: 400, "c": 30}
-    got = mixing.targets(sizes)
-    assert got["b"] == 20 and abs(sum(got.values()) - 1.5 * sum(sizes.values())) < 1e-9
-    assert all(t <= 2 * sizes[s] + 1e-9 for s, t in got.items())
-    free = [s for s in sizes if got[s] < 2 * sizes[s]]
-    weight = {"a": 3, "b": 1, "c": 2, None: 3}
-    assert len({round(got[s] / weight[s], 9) for s in free}) <= 1
-    assert mixing.targets({}) == {} and mixing.targets({"a": 0}) == {"a": 0}
-
-
-def test_permutations_and_draws():
+def targets(sizes):
+    names = sorted(sizes, key=lambda s: (s is None, s or ""))
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(names)}
+    out, free = {}, list(names)
+    while free:
+        left, total = 1.5 * sum(sizes.values()) - sum(out.values()), sum(weight[s] for s in free)
+        over = [s for s in free if left * weight[s] / total > 2 * sizes[s]]
+        if not over:
+            return out | {s: left * weight[s] / total for s in free}
+        out |= {s: 2.0 * sizes[s] for s in over}
+        free = [s for s in free if s not in out]
+    return out
+
+
+def test_targets_stop_at_twice_the_size(spark, rng):
+    many = {f"host{rng.randint(0, 1 << 20)}": rng.randint(0, 10) ** 4 for _ in range(300)}
+    for sizes in ({"b": 10, "a": 1000, None: 400, "c": 30}, {}, {"a": 0}, {"a": 0, None: 7}, {"é": 5, "z": 9, "Z": 1}, many):
+        rows = spark.createDataFrame(list(sizes.items()), "source string, source_size long")
+        found = mixing.with_targets(rows).collect()
+        want = targets(sizes)
+        assert {r.source: round(r.target, 6) for r in found} == {s: round(t, 6) for s, t in want.items()}
+        assert [r.source for r in sorted(found, key=lambda r: r.source_no)] == sorted(sizes, key=lambda s: (s is None, s or ""))
+
+
+def test_permutations():
     for n in (1, 2, 3, 17, 1000, 4097):
         assert sorted(mixing.shuffled(np.arange(n), n, 5)) == list(range(n))
     assert list(mixing.shuffled(np.arange(50), 50, 5)) != list(mixing.shuffled(np.arange(50), 50, 6))
-    rng = np.random.default_rng(1)
-    for _ in range(300):
-        owed = rng.integers(0, 30, 5)
-        got = mixing.draw(owed, int(rng.integers(0, 80)), rng)
-        assert (got <= owed).all()
+
+
+def test_mix_equals_a_plain_one(spark, rng, monkeypatch):
+    """Slots one by one in Python, over streams laid out in the order that the operator gives them."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 10_000)
+    docs = [(i, sentence(rng, rng.randint(0, 40)), rng.choice(["x", "x", "x", "y", None])) for i in range(300)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string").repartition(3)
+    block, got = 16, {r.doc_id: r for r in mixing.mix(df, block=16, shard_slots=8).collect()}
+    sizes = {}
+    for _, text, source in docs:
+        sizes[source] = sizes.get(source, 0) + len(text.split())
+    want = targets(sizes)
+    for number, source in enumerate(sorted(sizes, key=lambda s: (s is None, s or "")), 1):
+        words = [i for i, text, s in docs if s == source for _ in text.split()]
+        blocks = [words[at : at + block] for at in range(0, len(words), block)]
+        taken = dict.fromkeys((i for i, _, s in docs if s == source), 0)
+        owed = min(2 * len(blocks), int(want[source] * len(blocks) / len(words) + 0.5))
+        for slot in range(owed):
+            turn, place = divmod(slot, len(blocks))
+            key = hash((20, number, turn))
+            for i in blocks[int(mixing.shuffled(np.array([place]), len(blocks), key)[0])]:
+                taken[i] += 1
+        assert {i: got[i].taken for i in taken} == taken
+        assert all(got[i].target == pytest.approx(want[source]) for i in taken)
+
+
+def test_shards_are_samples_of_the_mix(spark):
+    sources = spark.createDataFrame([(1, 5000, 9000), (2, 300, 300)], "source_no long, blocks long, owed long")
+    slots = mixing._slots(sources, 500, 3).toPandas()
+    assert slots.groupby("source_no").size().to_dict() == {1: 9000, 2: 300}
+    by_shard = slots.groupby("shard").size()
+    assert len(by_shard) == 19 and by_shard.min() > 350 and by_shard.max() < 650
+    times = slots[slots.source_no == 1].groupby("block").size()
+    assert len(times) == 5000 and times.min() == 1 and times.max() == 2
 
 
 def test_mix_meets_targets(spark, rng, odd, empty):

@@ -1,13 +1,15 @@
 """Mixing sources to target weights by blocks.
 
 Each source's documents form a stream of words, cut into blocks of fixed length. The budget is split
-over sources by weight, no source taking more than a fixed multiple of its size. An output shard has
-a fixed number of slots; how many of them each source fills is drawn multinomially, with what the
-sources still owe as probabilities, so totals meet the targets. A source's slots run through its
-blocks in the order of a pseudorandom permutation, a new one for each pass, so a block is taken as
-often as there are passes, give or take one. Slots and blocks then join by source and block index.
+over sources by weight, no source taking more than a fixed multiple of its size; what a source is to
+give is a number of slots, each filled by a block. The slots are dealt to the output shards by
+multinomial draws, so every shard is a sample of the mix, and totals meet the targets exactly. A
+source's slots run through its blocks in the order of a pseudorandom permutation, a new one for each
+pass, so a block is taken as often as there are passes, give or take one. Slots and blocks then join
+by source and block index.
 
 Words are counted, not copied: the result says how many words of each document the mix takes.
+Sources are rows of a DataFrame throughout; the driver gets sums over them only.
 """
 
 from __future__ import annotations
@@ -21,51 +23,44 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tideweave.llm.common import WORD, parts_for, stored
+from tideweave.operators.graph import ranked
 
 #: Weights of the sources in order of their code points, null last; they repeat.
 WEIGHTS = (3, 1, 2)
 SHARE, MOST = 1.5, 2.0
 BLOCK = 128
 SHARD_SLOTS = 1 << 13
-#: Groups of shards drawn on the driver; each is divided into its shards by one task.
-GROUPS = 4096
 #: Rows of one source and bucket, which one task sums.
 BUCKET_ROWS = 20_000
-#: Slots sent on at once.
+#: Slots of one source that are dealt at once.
 AT_ONCE = 1 << 16
+#: Sources are ranked in buckets of equal first bytes.
+PREFIX = 8
 
 
-def targets(sizes: dict[str | None, int], weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> dict[str | None, float]:
-    """The words each source is to give.
+def with_targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST) -> DataFrame:
+    """``sources`` (source, source_size) with source_no, their rank by code point (null last), and target.
 
     ``share`` of all words is dealt by weight; targets above ``most`` times a source's size stop
-    there, and the excess is dealt anew by weight until none is above.
+    there, and the excess is dealt anew by weight until none is above. What stops once stays stopped,
+    since every deal anew raises the others.
     """
-    names = sorted(sizes, key=lambda s: (s is None, s or ""))
-    weight = {s: float(weights[i % len(weights)]) for i, s in enumerate(names)}
-    budget = share * sum(sizes.values())
-    out: dict[str | None, float] = {}
-    free = list(names)
-    while free:
-        left = budget - sum(out.values())
-        total = sum(weight[s] for s in free)
-        over = [s for s in free if left * weight[s] / total > most * sizes[s]]
-        if not over:
-            return out | {s: left * weight[s] / total for s in free}
-        out |= {s: most * sizes[s] for s in over}
-        free = [s for s in free if s not in out]
-    return out
-
-
-def draw(owed: np.ndarray, slots: int, rng: np.random.Generator) -> np.ndarray:
-    """How many of ``slots`` each source fills: multinomial by what is owed, never more than that."""
-    if slots >= owed.sum():
-        return owed.copy()
-    got = np.minimum(rng.multinomial(slots, owed / owed.sum()), owed)
-    while (short := slots - got.sum()) > 0:  # what was above goes to the others
-        rest = owed - got
-        got = got + np.minimum(rng.multinomial(short, rest / rest.sum()), rest)
-    return got
+    n, total = sources.agg(F.count("*"), F.coalesce(F.sum("source_size"), F.lit(0))).first()
+    ranks = ranked(sources, [], "source", "_rank", PREFIX)
+    rows = sources.join(ranks, "source", "left").withColumn("source_no", F.coalesce("_rank", F.lit(n)).cast("long")).drop("_rank")
+    rows = stored(rows, "sources")
+    weight = F.element_at(F.array(*(F.lit(float(w)) for w in weights)), F.pmod(F.col("source_no") - 1, F.lit(len(weights))).cast("int") + 1)
+    most_of = F.lit(float(most)) * F.col("source_size")
+    over = F.lit(False)
+    while True:
+        held, of, stopped = rows.agg(*(F.coalesce(F.sum(F.when(c, x)), F.lit(0.0)) for c, x in ((over, most_of), (~over, weight), (over, F.lit(1.0))))).first()
+        if not of:
+            return rows.withColumn("target", most_of)
+        dealt = F.lit(share * total - held) * weight / F.lit(of)
+        more = rows.where(dealt > most_of).count()
+        if more <= stopped:
+            return rows.withColumn("target", F.when(over, most_of).otherwise(dealt))
+        over = dealt > most_of
 
 
 def shuffled(index: np.ndarray, n: int, key: int) -> np.ndarray:
@@ -87,38 +82,26 @@ def shuffled(index: np.ndarray, n: int, key: int) -> np.ndarray:
     return out.astype(np.int64)
 
 
-def _slots(spark, blocks: np.ndarray, owed: np.ndarray, shard_slots: int, seed: int) -> DataFrame:
-    """shard, source_no, block of every slot."""
-    shards = parts_for(int(owed.sum()), shard_slots)
-    groups = min(GROUPS, shards)
-    rng = np.random.default_rng([seed, 0])
-    left, plan, first, shard = owed.copy(), [], np.zeros(len(owed), np.int64), 0
-    for g in range(groups):
-        n = shards // groups + (g < shards % groups)
-        got = draw(left, n * shard_slots, rng)
-        plan.append((g, shard, n, got.tolist(), first.tolist()))
-        left, first, shard = left - got, first + got, shard + n
+def _slots(sources: DataFrame, shard_slots: int, seed: int) -> DataFrame:
+    """shard, source_no, block of every slot of ``sources`` (source_no, blocks, owed)."""
+    total = sources.agg(F.sum("owed")).first()[0]
+    shards = parts_for(total, shard_slots)
 
     def deal(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for row in frame.itertuples(index=False):
-                rng = np.random.default_rng([seed, 1, row.group])
-                owed, first = np.array(row.counts, np.int64), np.array(row.first, np.int64)
-                for k in range(row.n):
-                    got = draw(owed, shard_slots, rng)
-                    for s in np.flatnonzero(got):
-                        for at in range(0, got[s], AT_ONCE):
-                            slot = np.arange(first[s] + at, first[s] + min(at + AT_ONCE, got[s]))
-                            turn, place = np.divmod(slot, blocks[s])
-                            block = np.empty_like(place)
-                            for e in np.unique(turn):
-                                block[turn == e] = shuffled(place[turn == e], int(blocks[s]), hash((seed, int(s), int(e))))
-                            yield pd.DataFrame({"shard": row.shard + k, "source_no": int(s), "block": block})
-                    owed, first = owed - got, first + got
-
-    schema = "group long, shard long, n long, counts array<long>, first array<long>"
-    rows = spark.createDataFrame(plan, schema).repartition(min(groups, 1 + int(owed.sum()) // 100_000), "group")
-    return rows.mapInPandas(deal, "shard long, source_no int, block long")
+                slot = np.arange(row.first, min(row.first + AT_ONCE, row.owed))
+                turn, place = np.divmod(slot, row.blocks)
+                block = np.empty_like(place)
+                for e in np.unique(turn):
+                    block[turn == e] = shuffled(place[turn == e], row.blocks, hash((seed, row.source_no, int(e))))
+                # The counts of a multinomial draw over the shards, in order of the slots.
+                shard = np.sort(np.random.default_rng([seed, row.source_no, row.first]).integers(shards, size=len(slot)))
+                yield pd.DataFrame({"shard": shard, "source_no": row.source_no, "block": block})
+
+    first = F.explode(F.sequence(F.lit(0).cast("long"), F.col("owed") - 1, F.lit(AT_ONCE).cast("long"))).alias("first")
+    ranges = sources.where("owed > 0").select("source_no", "blocks", "owed", first)
+    return ranges.repartition(parts_for(total, 2 * AT_ONCE), "source_no", "first").mapInPandas(deal, "shard long, source_no long, block long")
 
 
 def mix(
@@ -139,7 +122,6 @@ def mix(
     No document gives more than ``most`` (a whole number of passes) times its size. Rows that repeat
     a doc_id are documents of their own. An empty table gives no rows; other columns are ignored.
     """
-    spark = docs.sparkSession
     size = F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
     rows = stored(
         docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(source).alias("source"), size.alias("size")).withColumn(
@@ -147,23 +129,20 @@ def mix(
         ),
         "sizes",
     )
-    # One row per source: the mix's own configuration, not data about documents.
-    found = {r["source"]: (r["size"], r["rows"]) for r in rows.groupBy("source").agg(F.sum("size").alias("size"), F.count("*").alias("rows")).collect()}
-    sizes = {s: n for s, (n, _) in found.items()}
-    want = targets(sizes, weights, share, most)
-    names = sorted(sizes, key=lambda s: (s is None, s or ""))
-    blocks = np.array([-(-sizes[s] // block) for s in names], np.int64)
+    sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("docs"))
+    sources = with_targets(sources, weights, share, most)
     # Slots are of the mean length of the source's blocks.
-    owed = np.array([min(int(most) * n, round(want[s] * n / max(1, sizes[s]))) for s, n in zip(names, blocks.tolist(), strict=True)], np.int64)
-    known = spark.createDataFrame(
-        [(i, s, sizes[s], float(want[s])) for i, s in enumerate(names)], "source_no int, _source string, source_size long, target double"
-    )
-    rows = rows.join(F.broadcast(known), F.col("source").eqNullSafe(F.col("_source"))).drop("source", "_source")
-    if not owed.sum():
+    blocks = F.ceil(F.col("source_size") / block)
+    owed = F.least(F.lit(int(most)) * F.col("blocks"), F.round(F.col("target") * F.col("blocks") / F.greatest("source_size", F.lit(1))).cast("long"))
+    sources = stored(sources.withColumn("blocks", blocks).withColumn("owed", owed), "targets")
+    known = sources.select("source_no", F.col("source").alias("_source"), "source_size", "target")
+    rows = rows.join(known, F.col("source").eqNullSafe(F.col("_source"))).drop("source", "_source")
+    slots, most_docs = sources.agg(F.sum("owed"), F.max("docs")).first()
+    if not slots:
         return rows.select("doc_id", "size", "source_size", "target", F.lit(0).cast("long").alias("taken"))
 
     # Place of each document in its source's stream: by bucket, then by id. Buckets split large sources.
-    buckets = parts_for(max(n for _, n in found.values()), BUCKET_ROWS)
+    buckets = parts_for(most_docs, BUCKET_ROWS)
     dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size"), F.lit(buckets)))
     sums = dealt.groupBy("source_no", "bucket").agg(F.sum("size").alias("n"))
     before = W.partitionBy("source_no").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
@@ -181,10 +160,11 @@ def mix(
         (F.col("at") + F.col("size")).alias("end"),
         F.explode(F.sequence((F.col("at") / block).cast("long"), ((F.col("at") + F.col("size") - 1) / block).cast("long"))).alias("block"),
     )
-    times = _slots(spark, blocks, owed, shard_slots, seed).groupBy("source_no", "block").agg(F.count("*").alias("times"))
+    times = _slots(sources, shard_slots, seed).groupBy("source_no", "block").agg(F.count("*").alias("times"))
     words = F.least("end", (F.col("block") + 1) * block) - F.greatest("at", F.col("block") * block)
-    taken = spans.join(times, ["source_no", "block"]).groupBy("row").agg(F.sum(words * F.col("times")).alias("taken"))
-    return rows.join(taken, "row", "left").select(
+    # Both grow with the documents, which Spark cannot see from the few sources they come from.
+    taken = spans.join(times.hint("merge"), ["source_no", "block"]).groupBy("row").agg(F.sum(words * F.col("times")).alias("taken"))
+    return rows.join(taken.hint("merge"), "row", "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken")
     )
 
