@@ -11,6 +11,7 @@ stretches of different documents, with a switch of document after each word at a
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -161,18 +162,20 @@ def fit(texts: list[str], langs: list[str]) -> Crf | None:
 def train(docs: DataFrame, per_lang: int = SAMPLE_DOCS, chars: int = SAMPLE_CHARS) -> Crf | None:
     """Fit on about ``per_lang`` documents of each language (chosen by a hash of the id), ``chars`` characters at most.
 
-    Only text and lang of documents whose fold is not 0 are used; null languages and texts are left out.
+    Each language has an equal share of the characters; a text that would pass it, or half of it alone,
+    is skipped. Only text and lang of documents whose fold is not 0 are used; null languages and texts
+    are left out.
     """
     rows = docs.select("doc_id", "text", "lang").where((fold_of(F.col("doc_id")) != 0) & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = rows.groupBy("lang").agg(F.count("*").alias("n"))
     share = F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) / float(1 << 30)
     chosen = rows.join(F.broadcast(counts), "lang").where(share < F.lit(1.0 * per_lang) / F.col("n"))
-    sample, used = [], 0
-    for row in chosen.select("text", "lang").orderBy(F.xxhash64("doc_id"), "text").toLocalIterator():
-        used += len(row.text)
-        if used > chars and sample:
-            break
-        sample.append((row.text, row.lang))
+    each = chars // max(1, counts.count())
+    sample, used = [], Counter()
+    for row in chosen.where(F.length("text") <= each // 2).select("text", "lang").orderBy(F.xxhash64("doc_id"), "text").toLocalIterator():
+        if used[row.lang] + len(row.text) <= each:
+            used[row.lang] += len(row.text)
+            sample.append((row.text, row.lang))
     return fit([t for t, _ in sample], [g for _, g in sample])
 
 

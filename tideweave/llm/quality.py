@@ -29,9 +29,10 @@ REPEAT_PERCENT = 50
 #: A document is kept at this calibrated probability of quality 1 or more.
 KEEP_AT = 0.5
 
-#: Bounds of the training sample: labelled rows, and characters of text among them.
+#: Bounds of the training sample: labelled rows, characters of text among them, and of one text.
 SAMPLE_ROWS = 4000
 SAMPLE_CHARS = 24_000_000
+SAMPLE_TEXT = 1_000_000
 
 BUCKETS = 1 << 18
 CHAR_NGRAMS = (2, 3, 4)
@@ -154,10 +155,13 @@ def _features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
 
 def fit(texts: list[str | None], labels: list[int]) -> Model | None:
     """The calibrated classifier of these rows; None unless both labels occur among them."""
+    return _fit([_features(t) for t in texts], labels)
+
+
+def _fit(rows: list[tuple[np.ndarray, np.ndarray]], labels: list[int]) -> Model | None:
     y = np.asarray(labels, float)
     if len(y) < 8 or y.min() == y.max():
         return None
-    rows = [_features(t) for t in texts]
     model = Model(np.zeros(BUCKETS))
     squares, bias_square = np.full(BUCKETS, 1e-8), 1e-8
     held = np.arange(len(rows)) % CALIBRATE_EVERY == 0
@@ -204,7 +208,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: in
     """Fit on at most ``rows`` labelled rows and ``chars`` characters, chosen by a hash of the id.
 
     ``labels``: doc_id, quality (0 or 1; other values and nulls are left out, and of repeated ids
-    the least value counts).
+    the least value counts). Texts of more than SAMPLE_TEXT characters, or that would pass ``chars``,
+    are skipped. One task fits, so the driver gets the model alone.
     """
     wanted = (
         labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull())
@@ -213,15 +218,28 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = SAMPLE_ROWS, chars: in
         .orderBy(F.xxhash64("doc_id"), "doc_id")
         .limit(rows)
     )
-    texts = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id")
-    found = texts.withColumn("h", F.xxhash64("doc_id", "text")).orderBy("h", "doc_id").limit(rows)
-    sample, used = [], 0
-    for row in found.select("text", "quality").toLocalIterator():
-        used += len(row.text or "")
-        if used > chars:
-            break
-        sample.append((row.text, row.quality))
-    return fit([t for t, _ in sample], [q for _, q in sample])
+    short = docs.select("doc_id", "text").where(F.coalesce(F.length("text"), F.lit(0)) <= SAMPLE_TEXT)
+    texts = short.join(F.broadcast(wanted), "doc_id").withColumn("h", F.xxhash64("doc_id", "text"))
+    sample = texts.orderBy("h", "doc_id").limit(rows).select("text", F.col("quality").cast("long").alias("quality"))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found, verdicts, used = [], [], 0
+        for part in rows_of(batches, 64):
+            for text, verdict in zip(part["text"], part["quality"], strict=True):
+                if used + len(text or "") <= chars:
+                    used += len(text or "")
+                    found.append(_features(text))
+                    verdicts.append(verdict)
+        model = _fit(found, verdicts)
+        if model:
+            fields = [[model.weights.tobytes()], [model.bias], [model.slope], [model.shift]]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in fields], ["weights", "bias", "slope", "shift"])
+        del found
+        trim()
+
+    bound_batches(docs)
+    fitted = sample.mapInArrow(learn, "weights binary, bias double, slope double, shift double").collect()  # a row of fixed size, or none
+    return Model(np.frombuffer(fitted[0].weights), *fitted[0][1:]) if fitted else None
 
 
 def repeated_words(numbers: np.ndarray) -> int:
