@@ -49,8 +49,18 @@ def test_bytes_are_verified_when_digests_collide(spark, rng):
 
 def test_hit_filter_misses_nothing(spark):
     index = spark.range(5000).select(F.sha2(F.col("id").cast("string"), 256).alias("digest"), (F.col("id") % 3 + 1).alias("copies"))
-    rows = exact_dedup.with_hit(index, exact_dedup.hit_filter(index))
-    assert rows.where("copies > 1 AND NOT hit").count() == 0 and rows.where("copies = 1 AND hit").count() < 20
+    filter = exact_dedup.hit_filter(index)
+    rows = exact_dedup.with_hit(index, filter)
+    assert filter.bits == 1 << 16
+    assert rows.where("copies > 1 AND NOT hit").count() == 0 and rows.where("copies = 1 AND hit").count() < 200
+
+
+def test_index_finds_digests_and_extreme_ids(spark):
+    ids = spark.createDataFrame([(-(1 << 63), "a"), ((1 << 63) - 1, "A"), (0, "b")], "doc_id long, text string")
+    assert {r[:2] for r in exact_found(ids)} == {(-(1 << 63), (1 << 63) - 1), ((1 << 63) - 1, (1 << 63) - 1), (0, 0)}
+    index = exact_dedup.compact(exact_dedup.memtables(spark.range(1000).select(F.sha2(F.col("id").cast("string"), 256).alias("digest"), F.col("id").alias("ident"))))
+    digests = [hashlib.sha256(str(i).encode()).hexdigest() for i in (3, 77, 5000)]
+    assert {r.ident for r in exact_dedup.lookup(index, digests).collect()} == {3, 77}
 
 
 def test_drop_copies(odd, empty):
@@ -143,6 +153,13 @@ def test_samples_agree_with_weighted_jaccard(rng):
     assert abs(sum(close) / len(close)) < 0.02
 
 
+def test_another_text_of_a_dropped_id_stays(spark, rng):
+    text = sentence(rng, 80)
+    rows = [(1, text), (2, text + " more"), (2, sentence(rng, 80)), (None, text + " other"), (None, sentence(rng, 50)), (None, None)]
+    kept = minhash.keep_one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(str, map(tuple, kept))) == sorted(map(str, [rows[0], rows[2], rows[4], rows[5]]))
+
+
 def test_near_duplicates_of_odd_rows(odd, empty):
     rows = {(r.doc_id, r.class_id, r.class_size, r.kept) for r in minhash.near_duplicates(odd).collect()}
     assert rows == {(1, 1, 1, True), (2, 2, 1, True), (4, 4, 1, True), (None, 3, 3, False), (3, 3, 3, True), (5, 5, 1, True), (6, 6, 1, True), (7, 7, 1, True)}

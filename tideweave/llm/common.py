@@ -3,31 +3,22 @@
 from __future__ import annotations
 
 import ctypes
-import tempfile
-import uuid
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tideweave.sources.staging import new_path, staged
+
+#: A new path in the folder that driver and executors share.
+scratch = new_path
+
 #: The ASCII alphabets of case folding, and the six white-space characters that end a word.
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
-def scratch(spark: SparkSession, name: str) -> str:
-    """A new path in the folder that driver and executors share.
-
-    The folder is the session's ``spark.checkpoint.dir``; a folder of our own is used only where
-    that is unset, as in local tests.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = f"{tempfile.gettempdir()}/checkpoints"
-    return f"{root.rstrip('/')}/tideweave/{name}-{uuid.uuid4().hex}"
-
-
 #: Rows of an Arrow batch of texts: the session's default of 10,000 may mean hundreds of MB.
 BATCH_ROWS = 1024
 
@@ -56,10 +47,7 @@ def trim(keep: bool = False) -> None:
 
 def stored(df: DataFrame, name: str, **options: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it back: cuts lineage, survives executors."""
-    spark = df.sparkSession
-    path = scratch(spark, name)
-    df.write.options(**{"compression": "zstd"} | options).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return staged(df, name, **{"compression": "zstd"} | options)
 
 
 def ascii_lower(text: Column) -> Column:

@@ -3,9 +3,11 @@
 * memtable: each task combines equal ``(digest, identifier)`` entries and flushes them as a run
   sorted by digest. A run is a Parquet file with a Bloom filter on the digest (level 0).
 * compaction: runs merge into disjoint sorted runs that keep, per digest, the smallest identifier
-  (level 1). The identifier ranks rows by preference: ``-doc_id`` where the largest id is to stay.
-* probing: a bitmap of fixed size, built from the digests with more than one entry, lets only hits
-  through. Hits are grouped by their bytes, so equal digests of different texts stay apart.
+  (level 1). The identifier ranks rows by preference: the complement of doc_id, as the largest is to stay.
+  ``lookup`` finds digests in the runs, whose filters and order let most of them be passed over.
+* probing: a bitmap of the digests with more than one entry, of 16 bits for each and at most 128 MB,
+  lets only hits through. Hits are grouped by their bytes, so equal digests of different texts stay
+  apart. A full bitmap lets more rows through, which costs time and changes nothing.
 
 A group of copies collapses in the map-side part of each aggregation, so a group that holds a third
 of all rows costs one row per task.
@@ -14,14 +16,16 @@ of all rows costs one row per task.
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideweave.llm.common import ascii_lower, scratch
+from tideweave.llm.common import ascii_lower, scratch, stored
+from tideweave.sources.staging import opened
 
-#: Bits of the hit filter: 8 MB, whatever the input.
-FILTER_BITS = 1 << 26
+#: Bits of the hit filter for each repeated digest, and their bounds: 4 KB and 128 MB.
+HIT_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 15, 1 << 30
 #: Rows of a run, about 8 MB, and bytes of its Bloom filter (about 1 % false positives in a full run).
 RUN_ROWS, RUN_FILTER_BYTES = 1 << 17, 1 << 17
 
@@ -32,8 +36,7 @@ def sha256_hex(text: Column) -> Column:
 
 def _flush(entries: DataFrame, name: str) -> DataFrame:
     """Write runs sorted by digest, each with a Bloom filter, and read them."""
-    spark = entries.sparkSession
-    path = scratch(spark, name)
+    path = scratch(entries.sparkSession, name)
     (
         entries.sortWithinPartitions("digest", "ident")
         .write.option("maxRecordsPerFile", RUN_ROWS)
@@ -43,7 +46,7 @@ def _flush(entries: DataFrame, name: str) -> DataFrame:
         .option("compression", "zstd")
         .parquet(path)
     )
-    return spark.read.schema(entries.schema).parquet(path)
+    return opened(entries.sparkSession, path, entries)
 
 
 def memtables(rows: DataFrame) -> DataFrame:
@@ -57,29 +60,46 @@ def compact(runs: DataFrame) -> DataFrame:
     return _flush(merged, "runs1")
 
 
-def _slot(digest: Column) -> Column:
-    return F.pmod(F.xxhash64(digest), F.lit(FILTER_BITS))
+def lookup(runs: DataFrame, digests: list[str]) -> DataFrame:
+    """The entries of a few digests: runs and row groups whose filters or ranges rule them out are not read."""
+    return runs.where(F.col("digest").isin(digests))
 
 
-def hit_filter(index: DataFrame) -> DataFrame:
-    """Bitmaps of the digests that occur more than once: at most FILTER_BITS / 32768 rows of 4 KB."""
-    slot = _slot(F.col("digest"))
-    hits = index.where("copies > 1").select(slot.alias("slot"))
-    return hits.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
+def _slot(digest: Column, bits: int) -> Column:
+    return F.pmod(F.xxhash64(digest), F.lit(bits))
+
+
+@dataclass
+class HitFilter:
+    """Bitmaps (bucket, bits) of 4 KB each over ``bits`` slots."""
+
+    bitmaps: DataFrame
+    bits: int
+
+
+def hit_filter(index: DataFrame) -> HitFilter:
+    """Bitmaps of the digests of ``index`` (digest, copies) that occur more than once: at most 128 MB."""
+    hits = index.where("copies > 1")
+    wanted, bits = HIT_BITS * hits.count(), LEAST_BITS
+    while bits < min(wanted, MOST_BITS):
+        bits *= 2
+    slots = hits.select(_slot(F.col("digest"), bits).alias("slot"))
+    bitmaps = slots.groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
         F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits")
     )
+    return HitFilter(bitmaps, bits)
 
 
-def with_hit(rows: DataFrame, bitmaps: DataFrame) -> DataFrame:
+def with_hit(rows: DataFrame, filter: HitFilter) -> DataFrame:
     """``rows`` with a boolean ``hit``: true wherever the digest occurs more than once, and rarely elsewhere.
 
-    The filter's size is fixed, so it is broadcast whatever the input.
+    The filter's size is bounded, so it is broadcast.
     """
-    slot = _slot(F.col("digest"))
+    slot = _slot(F.col("digest"), filter.bits)
     at = F.bitmap_bit_position(slot)
     byte = F.conv(F.hex(F.substring("_bits", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
     bit = F.pmod(F.call_function("shiftright", byte, F.pmod(at, F.lit(8)).cast("int")), F.lit(2))
-    named = bitmaps.select(F.col("bucket").alias("_bucket"), F.col("bits").alias("_bits"))
+    named = filter.bitmaps.select(F.col("bucket").alias("_bucket"), F.col("bits").alias("_bits"))
     return rows.join(F.broadcast(named), F.bitmap_bucket_number(slot) == F.col("_bucket"), "left").select(
         *rows.columns, (F.col("_bits").isNotNull() & (bit == 1)).alias("hit")
     )
@@ -99,18 +119,16 @@ def exact_groups(
     """
     norm = normalise(F.col(text))
     rows = docs.select(F.col(doc_id).alias("doc_id"), norm.alias("norm")).withColumn("digest", digest(F.col("norm")))
-    level0 = memtables(rows.select("digest", (-F.col("doc_id")).alias("ident")))
-    bitmaps = hit_filter(compact(level0))
+    level0 = memtables(rows.select("digest", F.bitwise_not(F.col("doc_id")).alias("ident")))
+    hits = hit_filter(compact(level0))
     groups = (
-        with_hit(rows, bitmaps)
+        with_hit(rows, hits)
         .where("hit")
         .groupBy("digest", "norm")
-        .agg(F.min(-F.col("doc_id")).alias("first"), F.count("*").alias("size"))
+        .agg(F.min(F.bitwise_not(F.col("doc_id"))).alias("first"), F.count("*").alias("size"))
         .select("digest", "first", "size", F.xxhash64("norm").alias("bytes"), F.length("norm").alias("chars"))
     )
-    path = scratch(docs.sparkSession, "groups")
-    groups.write.option("compression", "zstd").parquet(path)
-    groups = docs.sparkSession.read.schema(groups.schema).parquet(path)
+    groups = stored(groups, "groups")
     verified = groups.groupBy("digest").agg(
         F.count("*").alias("texts"), F.min("first").alias("first"), F.sum("size").alias("size")
     )
@@ -120,8 +138,8 @@ def exact_groups(
     if not mixed.isEmpty():
         entries = level0.join(mixed, "digest", "left_anti")
     found = entries.join(unmixed, "digest", "left").select(
-        (-F.col("ident")).alias("doc_id"),
-        (-F.when(F.col("texts").isNull(), F.col("ident")).otherwise(F.col("first"))).alias("keep_id"),
+        F.bitwise_not("ident").alias("doc_id"),
+        F.bitwise_not(F.when(F.col("texts").isNull(), F.col("ident")).otherwise(F.col("first"))).alias("keep_id"),
         F.coalesce("size", "copies").alias("group_size"),
         "digest",
         "copies",

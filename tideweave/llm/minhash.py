@@ -209,7 +209,7 @@ def jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
 
 
 def _signatures(docs: DataFrame, weights: Weights) -> DataFrame:
-    """doc_id, key, words, bands (null for texts without a word)."""
+    """doc_id, text_hash, key, words, bands (null for texts without a word)."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memo = WordHashes()
@@ -222,11 +222,11 @@ def _signatures(docs: DataFrame, weights: Weights) -> DataFrame:
                 sizes.append(len(words))
                 bands.append(weights.bands(hashes, weights.of(hashes, counts)) if len(hashes) else None)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(rows["doc_id"], pa.int64()), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
-                ["doc_id", "key", "words", "bands"],
+                [*(pa.array(rows[c], pa.int64()) for c in ("doc_id", "text_hash")), pa.array(keys, pa.binary()), pa.array(sizes, pa.int64()), pa.array(bands, pa.list_(pa.int64()))],
+                ["doc_id", "text_hash", "key", "words", "bands"],
             )
 
-    return docs.mapInArrow(sign, "doc_id long, key binary, words long, bands array<long>")
+    return docs.mapInArrow(sign, "doc_id long, text_hash long, key binary, words long, bands array<long>")
 
 
 def _unpack(blob: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -335,8 +335,12 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     kept each time. Rows without a word are in no class with others: class_id is their own doc_id.
     An empty table gives no rows; other columns are ignored.
     """
+    return _near_duplicates(docs, text, doc_id, threshold).drop("text_hash")
+
+
+def _near_duplicates(docs: DataFrame, text: str, doc_id: str, threshold: float) -> DataFrame:
     bound_batches(docs)
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"), _text_hash(F.col(text)).alias("text_hash"))
     counters, n = sketch(rows)
     weights = Weights(levels(counters, n), n)
     signed = stored(_signatures(rows, weights), "signatures")
@@ -359,11 +363,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
 
     first = members.select("key", F.explode(F.array_distinct("pivots")).alias("pivot")).where("key <> pivot")
     first = stored(first.select(*_pairs(F.col("key"), F.col("pivot"))).distinct(), "pairs")
-    # Shingle sets of candidates only: a bitmap of fixed size picks their rows out of the documents.
+    # Shingle sets of candidates only: a bitmap of bounded size picks their rows out of the documents.
     wanted = members.select("doc_id", "key").distinct()
     named = F.coalesce(F.col("doc_id").cast("string"), F.lit("null"))
-    bitmaps = hit_filter(wanted.select(named.alias("digest"), F.lit(2).alias("copies")))
-    chosen = with_hit(rows.withColumn("digest", named), bitmaps).where("hit").select("text")
+    hits = hit_filter(wanted.select(named.alias("digest"), F.lit(2).alias("copies")))
+    chosen = with_hit(rows.withColumn("digest", named), hits).where("hit").select("text")
     sets = stored(_sets(chosen).dropDuplicates(["key"]), "sets")
     near = _verify(first, sets, weights)
 
@@ -384,14 +388,21 @@ def near_duplicates(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
         .join(degree.withColumnRenamed("a", "key"), "key", "left")
         .select("key", F.coalesce("root", "key").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
     )
-    placed = stored(worded.select("doc_id", "key").join(classes, "key"), "classes")
+    placed = stored(worded.select("doc_id", "text_hash", "key").join(classes, "key"), "classes")
     sizes = placed.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    found = placed.join(sizes, "root").select("doc_id", "class_id", "class_size", "links")
-    none = signed.where("words = 0").select("doc_id", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(0).cast("long").alias("links"))
+    found = placed.join(sizes, "root").select("doc_id", "text_hash", "class_id", "class_size", "links")
+    none = signed.where("words = 0").select("doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(0).cast("long").alias("links"))
     return found.unionByName(none).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
 
+def _text_hash(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")), F.length(text))
+
+
 def keep_one_of_each(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that are kept, with all their columns; rows of equal ids stay together."""
-    dropped = near_duplicates(docs, text, doc_id).where(~F.col("kept")).select(F.col("doc_id").alias("_id")).distinct()
-    return docs.join(dropped, docs[doc_id].eqNullSafe(dropped["_id"]), "left_anti")
+    """The rows of ``docs`` that are kept, with all their columns; rows of equal id and text go together."""
+    dropped = _near_duplicates(docs, text, doc_id, THRESHOLD).where(~F.col("kept"))
+    dropped = dropped.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_text_hash")).distinct()
+    rows = docs.withColumn("_hash", _text_hash(docs[text]))
+    same = rows[doc_id].eqNullSafe(dropped["_id"]) & (rows["_hash"] == dropped["_text_hash"])
+    return rows.join(dropped, same, "left_anti").select(*docs.columns)
