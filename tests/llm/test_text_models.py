@@ -7,8 +7,9 @@ import re
 import zlib
 
 import numpy as np
+import pytest
 
-from tideweave.llm import langid, lm, pii, quality
+from tideweave.llm import decisions, langid, lm, pii, quality
 
 from .conftest import sentence
 
@@ -247,14 +248,82 @@ def test_language_model_counts_of_pairs_and_triples(spark, rng):
         w = [None, None, *w, "END"]
         for i in range(2, len(w)):
             grams.update([(w[i],), tuple(w[i - 1 : i + 1]), tuple(w[i - 2 : i + 1])])
-    # Whatever the context, what may follow shares probability 1 (spelling gets what new tokens need).
-    weights = lm.weights_of(rng_sums := np.random.default_rng(1).random((lm.CONTEXTS, lm.PARTS)), 99)
-    assert rng_sums.shape == weights.shape and np.allclose(weights.sum(axis=1), 1)
     total = sum(n for g, n in grams.items() if len(g) == 1)
+    learn = decisions.Mixer.new()
+    learn.weights += np.random.default_rng(1).normal(0, 0.2, learn.weights.shape)
+    # Whatever the context, what may follow shares probability 1 at most.
     for u, v in [(None, None), (None, "a"), ("a", "b"), ("c", "c")]:
-        one = np.array([len(taught) if v is None else grams[(v,)]])
-        two = np.array([len(taught) if v is None else grams[(u, v)]])
-        n = lambda g: np.array([grams[g]])
-        shares = [lm.predictions(n((w,)), n((v, w)), n((u, v, w)), one, two, np.zeros(1), total) for w in ("a", "b", "c", "END")]
-        assert np.allclose(sum(shares)[1:], 1)
+        before = [x for x in (u, v) if x]
+        share = new = 0.0
+        for w in ("a", "b", "c", "END", "new"):
+            text = [None, None, *before, w]
+            counts = [np.array([grams[tuple(text[i - n : i + 1])] for i in range(2, len(text))]) for n in range(3)]
+            places = decisions.Places(*counts, np.arange(len(text) - 2), len(taught), total, np.zeros(len(text) - 2))
+            p = 10 ** learn.log10_probabilities(places)[-1]
+            share, new = share + (0 if places.new[-1] else p), p if places.new[-1] else new
+        assert 0 < new and 0.2 < share + new <= 1 + 1e-9
     assert rows[docs[0][0]].train_tokens == total
+
+
+def test_decisions_equal_a_plain_mixer(rng):
+    """Scores and what is learned, against one place at a time in Python."""
+    rand = np.random.default_rng(3)
+    lengths = [1, 7, 2, 30, 1, 19]
+    place = np.concatenate([np.arange(n) for n in lengths])
+    c1 = rand.integers(0, 6, len(place))
+    c2 = np.minimum(rand.integers(0, 4, len(place)), c1)
+    c3 = np.minimum(rand.integers(0, 3, len(place)), c2)
+    train = np.repeat([True, False, True, True, False, True], lengths)
+    c1, c2, c3 = (np.maximum(c, train) for c in (c1, c2, c3))
+    places = decisions.Places(c1, c2, c3, place, 4, 200, train)
+    learn = decisions.Mixer.new()
+    learn.learn(lambda give, size: give(places).ravel())
+
+    q = lambda n: sum(n >= s for s in decisions.STEPS)
+    asked, level = [], []
+    for i in range(len(place)):
+        less = int(train[i])
+        one, two = (4, 4) if place[i] == 0 else (c1[i - 1], c2[i - 1])
+        one, two, total = max(one - less, 0), max(two - less, 0), 200 - less
+        counts = [c3[i] - less, c2[i] - less, c1[i] - less]
+        of = [two, one, total]
+        yes = next((d for d in range(3) if counts[d] > 0 and of[d] > 0), 3)
+        level.append(3 - yes)
+        last = [level[i - n] if place[i] >= n else 0 for n in range(9)]
+        run = next((n for n in range(place[i]) if level[i - 1 - n] != 3), place[i])
+        run = min(run, 31)
+        seen = q(two) * 10 + q(one)
+        three = max(c3[i - 1] - int(train[i - 1]), 0) if place[i] else 0
+        pairs = last[1] * 4 + last[2]
+        contexts = [seen, sum((last[n] == 3) << n - 1 for n in range(1, 9)), run * 10 + q(two), pairs * 100 + seen, (last[3] * 16 + pairs) * 10 + q(one), q(three) * 32 + run]
+        asked.append([(d, yes == d, contexts, q(two) if d == 0 else q(one)) for d in range(min(yes, 2) + 1) if of[d] > 0])
+        share = counts[yes] / of[yes] if yes < 3 else 1
+        asked[-1].append(min(share, 1))
+    seen = collections.Counter()
+    for i, (*bits, _) in enumerate(asked):
+        seen.update((d, k, c, y) for d, y, contexts, _ in bits for k, c in enumerate(contexts) if train[i])
+    for i, (*bits, share) in enumerate(asked):
+        want = math.log10(share)
+        for d, y, contexts, gate in bits:
+            n = lambda k, c, bit: seen[d, k, c, bit] - (train[i] and y == bit) + 0.4  # noqa: B023, E731
+            x = [math.log(n(k, c, True) / n(k, c, False)) for k, c in enumerate(contexts)] + [0.3]
+            x = max(-8, min(8, sum(a * b for a, b in zip(x, learn.weights[d, gate], strict=True))))
+            at = round((x + 8) * 2)
+            rates = learn.rates[d, gate, at]
+            refined = (rates[1] + 8 / (1 + math.exp(8 - at / 2))) / (rates.sum() + 8)
+            p = 0.5 / (1 + math.exp(-x)) + 0.5 * refined
+            want += math.log10(p if y else 1 - p)
+        assert abs(learn.log10_probabilities(places)[i] - want) < 1e-9
+    assert learn.counts.sum() == sum(len(bits) for i, (*bits, _) in enumerate(asked) if train[i]) * decisions.CONTEXTS
+
+
+def test_scores_do_not_depend_on_partitions(spark, rng):
+    docs = [(i, sentence(rng, rng.randint(0, 50))) for i in range(300)]
+    docs += [(1000 + i, docs[i][1]) for i in range(0, 300, 9)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    a, b = ({r.doc_id: r for r in lm.score(df.repartition(n)).collect()} for n in (1, 7))
+    assert all(abs(a[k].score - b[k].score) < 1e-6 and abs(a[k].score_unseen - b[k].score_unseen) < 1e-6 for k, _ in docs)
+    assert all(r.score == pytest.approx(r.score_unseen) for r in a.values() if r.held_out)
+    twice = {i for i in range(0, 300, 9)} | {1000 + i for i in range(0, 300, 9)}
+    per = lambda k: a[k].score_unseen / a[k].n_tokens
+    assert np.median([per(k) for k, t in docs if k in twice and len(t) > 100]) > np.median([per(k) for k, t in docs if k not in twice and len(t) > 100]) + 0.5

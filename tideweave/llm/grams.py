@@ -30,13 +30,22 @@ END_KEY, START_KEY = np.uint64(0x7C9E3A1B5D2F8E61), np.uint64(0x1D8AF066E2B3C495
 
 
 def pack(x: np.ndarray) -> bytes:
-    """Whole numbers of 0 or more, in 4 bytes where all fit."""
-    wide = len(x) > 0 and int(x.max()) >= 1 << 32
-    return (b"\x08" if wide else b"\x04") + zlib.compress(x.astype(np.uint64 if wide else np.uint32).tobytes(), 1)
+    """Whole numbers of 0 or more: as many byte planes as the largest needs, each value's low byte first."""
+    planes = (int(x.max()).bit_length() + 7) // 8 if len(x) else 0
+    if not planes:
+        return b"\x00" + zlib.compress(b"")
+    low = x.astype("<u8").view(np.uint8).reshape(-1, 8)
+    return bytes([planes]) + zlib.compress(b"".join(low[:, i].tobytes() for i in range(planes)), 1)
 
 
-def unpack(blob: bytes) -> np.ndarray:
-    return np.frombuffer(zlib.decompress(blob[1:]), np.uint64 if blob[0] == 8 else np.uint32).astype(np.int64)
+def unpack(blob: bytes, n: int | None = None) -> np.ndarray:
+    """What was packed; ``n`` numbers, needed where all may be 0."""
+    planes, data = blob[0], np.frombuffer(zlib.decompress(blob[1:]), np.uint8)
+    n = len(data) // planes if planes else n or 0
+    out = np.zeros((n, 8), np.uint8)
+    for i in range(planes):
+        out[:, i] = data[i * n : (i + 1) * n]
+    return out.view("<i8").ravel()
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -59,7 +68,7 @@ class Block:
         self.numbers = np.full(int(lengths.sum()), self.end, np.int64)
         inside = np.ones(len(self.numbers), bool)
         inside[self.starts + lengths - 1] = False
-        self.numbers[inside] = unpack(ids)
+        self.numbers[inside] = unpack(ids, int(inside.sum()))
         self.train = np.repeat(~np.asarray(held, bool), lengths)
         self.place = np.arange(len(self.numbers)) - np.repeat(self.starts, lengths)
 
@@ -95,20 +104,39 @@ def keys_of(block: Block, kind: str) -> tuple[np.ndarray, np.ndarray]:
         counts = np.bincount(block.numbers[block.train], minlength=block.end + 1)[: block.end]
         order = np.argsort(keys)
         return keys[order], counts[order]
-    keys = np.concatenate(block.gram_keys())
-    train = np.concatenate((block.train, block.train))
-    taught, counts = np.unique(keys[train], return_counts=True)
-    every = np.union1d(taught, keys[~train]) if not train.all() else taught
-    out = np.zeros(len(every), np.int64)
-    out[np.searchsorted(every, taught)] = counts
-    return every, out
+    # Sorted with the fold in the low bit; np.unique hashes, which is far slower on so many.
+    keys = np.concatenate(block.gram_keys()) << np.uint64(1)
+    keys |= np.concatenate((block.train, block.train))
+    keys.sort()
+    taught = (keys & np.uint64(1)).astype(np.int64)
+    keys >>= np.uint64(1)
+    starts = starts_of(keys)
+    return keys[starts], np.add.reduceat(taught, starts) if len(starts) else taught
+
+
+def starts_of(ordered: np.ndarray) -> np.ndarray:
+    """Where each run of equal values begins."""
+    return np.flatnonzero(np.concatenate((ordered[:1] == ordered[:1], ordered[1:] != ordered[:-1])))
+
+
+def at_places(keys: np.ndarray, by_key: np.ndarray) -> np.ndarray:
+    """For each of ``keys`` its value, given the values of the distinct keys in order."""
+    order = np.argsort(keys)
+    ranked = keys[order]
+    run = np.cumsum(np.concatenate((ranked[:1] != ranked[:1], ranked[1:] != ranked[:-1])))
+    out = np.empty(len(keys), np.int64)
+    out[order] = by_key[run]
+    return out
 
 
 _PIECES = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("heads", pa.binary()), ("tails", pa.binary()), ("counts", pa.binary())])
 
 
+FOUND = "block long, shard int, keys long, found binary"
+
+
 def corpus_counts(blocks: DataFrame, kind: str, keys: int) -> DataFrame:
-    """(block, shard, found): for each block's keys of a shard in order, twice the corpus count, plus 1 where the block is the first to teach the key.
+    """(block, shard, keys, found): for each block's keys of a shard in order, twice the corpus count, plus 1 where the block is the first to teach the key.
 
     ``keys``: about how many keys all blocks send.
     """
@@ -140,30 +168,30 @@ def corpus_counts(blocks: DataFrame, kind: str, keys: int) -> DataFrame:
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("block")
-        heads = np.concatenate([np.repeat(np.arange(per, dtype=np.uint64), unpack(x)) for x in frame["heads"]])
+        heads = np.concatenate([np.repeat(np.arange(per, dtype=np.uint64), unpack(x, per)) for x in frame["heads"]])
         tails = np.concatenate([np.frombuffer(x, tail) for x in frame["tails"]])
-        counts = [unpack(x) for x in frame["counts"]]
-        sizes = list(map(len, counts))
+        sizes = [len(x) // np.dtype(tail).itemsize for x in frame["tails"]]
+        counts = [unpack(x, n) for x, n in zip(frame["counts"], sizes, strict=True)]
         every, counts = heads << np.uint64(bits) | tails, np.concatenate(counts)
         del heads, tails
         order = np.argsort(every, kind="stable")
         every, counts = every[order], counts[order]
-        first = np.concatenate(([True], every[1:] != every[:-1]))
-        starts = np.flatnonzero(first)
-        run = np.cumsum(first) - 1
+        starts = starts_of(every)
+        run = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(every)))
         sums = np.add.reduceat(counts, starts)
         before = np.cumsum(counts) - counts
         owner = (counts > 0) & (before == before[starts][run])
         found = np.empty(len(every), np.int64)
         found[order] = sums[run] * 2 + owner
         parts = np.split(found, np.cumsum(sizes)[:-1])
-        return pd.DataFrame({"block": frame["block"].to_numpy(), "shard": frame["shard"].to_numpy(), "found": list(map(pack, parts))})
+        columns = {"block": frame["block"].to_numpy(), "shard": frame["shard"].to_numpy(), "keys": sizes, "found": list(map(pack, parts))}
+        return pd.DataFrame(columns)
 
     sent = blocks.select("block", "tokens", "ids", "sizes", "held").mapInArrow(pieces, "shard int, block long, heads binary, tails binary, counts binary")
-    return sent.groupBy("shard").applyInPandas(add, "block long, shard int, found binary")
+    return sent.groupBy("shard").applyInPandas(add, FOUND)
 
 
 def merged(frame: pd.DataFrame) -> np.ndarray:
     """All counts that a block got, in the order of its keys."""
     frame = frame.sort_values("shard")
-    return np.concatenate([unpack(x) for x in frame["found"]]) if len(frame) else np.zeros(0, np.int64)
+    return np.concatenate([np.zeros(0, np.int64), *(unpack(x, n) for x, n in zip(frame["found"], frame["keys"], strict=True))])

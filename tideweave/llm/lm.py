@@ -1,9 +1,8 @@
 """Language-model scores by context mixing over the whole corpus, in text order.
 
-Four predictors of each token are mixed with weights chosen by a gate (how often the last two tokens
-and the last one were seen): its share after the last two tokens, after the last one, and among all
-tokens, and for tokens never taught their spelling. Texts begin with a start mark and close with
-their end. Together they share probability 1 at each place.
+A token is coded by binary decisions: was it taught after the last two tokens, after the last one, at
+all (``decisions``); and if it was not, by its spelling. Texts begin with a start mark and close with
+their end. All that may follow a place shares probability 1 at most.
 
 Spelling codes a token bit by bit: its bytes and an end mark, each along the path of a Huffman code.
 For every bit several predictors look up counters by a hash of their context (the last one to four
@@ -12,17 +11,17 @@ chosen by a gate, trained online, and refined by an adaptive table of observed r
 
 * blocks: each task numbers the distinct tokens of blocks of text of bounded size.
 * counts: tokens, pairs and triples of training documents are counted as keyed rows (``grams``).
-* spelling: every training token adds its count to hashed counters, whose size is fixed.
-* gathering: blocks meet the counts of what they hold. Each training token is predicted as if it had
-  not been counted once, so tokens and pairs seen once teach the weights what new ones need.
-* scores: texts are weighed with the weights summed over all blocks.
+* spelling: every training token adds its count to hashed counters, whose size is fixed. Online steps
+  run through the tokens of each bucket of the vocabulary in order, so tasks don't matter.
+* gathering: blocks meet the counts of what they hold.
+* passes over the gathered counts learn the decisions' counters, weights and rates, then score.
 """
 
 from __future__ import annotations
 
 import heapq
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,7 +31,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideweave.llm import grams
-from tideweave.llm.common import ascii_lower, bound_batches, fold_of, stored, trim
+from tideweave.llm.common import ascii_lower, bound_batches, fold_of, parts_for, stored, trim
+from tideweave.llm.decisions import Mixer as Decisions
+from tideweave.llm.decisions import Places
+from tideweave.sources.staging import release
 
 #: Characters of text in a block.
 BLOCK_CHARS = 16 << 20
@@ -50,6 +52,8 @@ GATES, RATES, LIMIT = 20, 33, 8.0
 RATE_PRIOR = 8.0
 WORDS_AT_ONCE = 4096
 CHUNKS = 64
+#: Tokens of the vocabulary that one task learns from in order.
+BUCKET_TOKENS = 1 << 19
 M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
 BLOCKS = "block long, doc_ids array<long>, held array<boolean>, bytes array<long>, sizes array<int>, ids binary, tokens binary"
@@ -83,7 +87,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 new = dict.fromkeys(w for w in words if w not in numbers)
                 numbers.update(zip(new, range(len(numbers), len(numbers) + len(new)), strict=True))
                 ids.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
-                docs.append((key, held, len(data), len(words)))
+                docs.append((key, held, sum(map(len, words)) + len(words), len(words)))
                 chars += len(data) + 64
                 if chars > BLOCK_CHARS:
                     yield flush()
@@ -287,10 +291,20 @@ def _token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[byt
         yield tokens, np.concatenate(counts)
 
 
+def _in_order(frame: pd.DataFrame) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """Tokens of a bucket and their counts, in order, WORDS_AT_ONCE at a time."""
+    trim()
+    frame = frame.sort_values("token")
+    for at in range(0, len(frame), WORDS_AT_ONCE):
+        part = frame.iloc[at : at + WORDS_AT_ONCE]
+        yield list(part["token"]), part["n"].to_numpy(float)
+
+
 def train(vocabulary: DataFrame, end_count: int) -> Model:
     """The model of all training tokens: ``vocabulary`` (token, n) with n > 0, and the number of texts."""
     spark = vocabulary.sparkSession
-    few = vocabulary.coalesce(max(1, vocabulary.rdd.getNumPartitions() // 4))
+    buckets = parts_for(vocabulary.count(), BUCKET_TOKENS)
+    dealt = vocabulary.withColumn("bucket", F.pmod(F.xxhash64("token"), F.lit(buckets))).groupBy("bucket")
 
     def histogram(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(SYMBOLS)
@@ -306,17 +320,14 @@ def train(vocabulary: DataFrame, end_count: int) -> Model:
     by_symbol[END] = end_count
     code = huffman(by_symbol)
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(frame: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros((2, OFFSETS[-1]), np.float32)
-        used = False
-        for tokens, n in _token_batches(batches):
-            used = True
+        for tokens, n in _in_order(frame):
             for owner, bit, slots in steps(tokens, code):
                 for slot in slots:
                     np.add.at(total.reshape(-1), slot + bit * OFFSETS[-1], n[owner].astype(np.float32))
-        if used:
-            parts = [zlib.compress(np.ascontiguousarray(x).tobytes(), 1) for x in np.array_split(total, CHUNKS, axis=1)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(CHUNKS), pa.int32()), pa.array(parts, pa.binary())], ["chunk", "counts"])
+        parts = [zlib.compress(np.ascontiguousarray(x).tobytes(), 1) for x in np.array_split(total, CHUNKS, axis=1)]
+        return pd.DataFrame({"chunk": np.arange(CHUNKS, dtype=np.int32), "counts": parts})
 
     def add(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
@@ -328,7 +339,7 @@ def train(vocabulary: DataFrame, end_count: int) -> Model:
             zeros, ones = quantise(x.reshape(2, -1))
             yield pd.DataFrame({"chunk": [chunk], "counts": [(ones.astype(np.uint16) << 8 | zeros).tobytes()]})
 
-    parts = few.mapInArrow(count, "chunk int, counts binary").repartition(16, "chunk")
+    parts = dealt.applyInPandas(count, "chunk int, counts binary").repartition(16, "chunk")
     counters = np.zeros(OFFSETS[-1], np.uint16)
     pieces = np.array_split(np.arange(OFFSETS[-1]), CHUNKS)
     for row in parts.mapInPandas(add, "chunk int, counts binary").toLocalIterator():  # CHUNKS rows of fixed size
@@ -336,21 +347,20 @@ def train(vocabulary: DataFrame, end_count: int) -> Model:
     _count_end(counters, code, end_count)
     shared = spark.sparkContext.broadcast(counters)  # 15 MB, whatever the input
 
-    def mix(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mixer, squares, n = Mixer.new(), np.zeros((GATES, K)), 0.0
-        for tokens, counts in _token_batches(batches):
+    def mix(frame: pd.DataFrame) -> pd.DataFrame:
+        mixer, squares = Mixer.new(), np.zeros((GATES, K))
+        for tokens, counts in _in_order(frame):
             learn(tokens, counts, code, shared.value, mixer, squares)
-            n += len(tokens)
-        out = np.concatenate((mixer.weights.ravel() * n, mixer.rates.ravel(), [n]))
-        yield pa.RecordBatch.from_arrays([pa.array(range(len(out)), pa.int32()), pa.array(out)], ["at", "x"])
+        out = np.concatenate((mixer.weights.ravel() * len(frame), mixer.rates.ravel(), [len(frame)]))
+        return pd.DataFrame({"at": np.arange(len(out), dtype=np.int32), "x": out})
 
     mixer = Mixer.new()
-    summed = few.mapInArrow(mix, "at int, x double").groupBy("at").agg(F.sum("x").alias("x")).collect()
+    summed = dealt.applyInPandas(mix, "at int, x double").groupBy("at").agg(F.sum("x").alias("x")).collect()
     flat = np.zeros(GATES * K + GATES * RATES * 2 + 1)
     for row in summed:  # the mixer's size
         flat[row.at] = row.x
     if flat[-1]:
-        mixer.weights = flat[: GATES * K].reshape(GATES, K) / flat[-1]
+        mixer.weights = (flat[: GATES * K].reshape(GATES, K) / flat[-1]).round(6)
         mixer.rates = flat[GATES * K : -1].reshape(GATES, RATES, 2)
     model = Model(code, counters, mixer)
     shared.unpersist()
@@ -366,64 +376,48 @@ def _count_end(counters: np.ndarray, code: Code, n: int) -> None:
             counters[slot] = quantise(ones).astype(np.uint16) << 8 | quantise(zeros)
 
 
-#: Predictors of a token: spelling, token, after one token, after two; and steps of how often a context was seen.
-PARTS, STEPS = 4, np.array([1, 2, 3, 5, 9, 17, 65, 257, 4097])
-CONTEXTS = (len(STEPS) + 1) ** 2
-ROUNDS, WEIGHT_PRIOR, AT_ONCE = 4, 0.05, 1 << 18
-
-
-def context_gate(two: np.ndarray, one: np.ndarray) -> np.ndarray:
-    """The gate of a place, by how often its last two tokens and its last token were seen."""
-    return np.searchsorted(STEPS, two, side="right") * (len(STEPS) + 1) + np.searchsorted(STEPS, one, side="right")
-
-
-def weights_of(sums: np.ndarray, total: float) -> np.ndarray:
-    """Weights by gate from what each predictor explained there; contexts never seen get none."""
-    gates = np.arange(CONTEXTS)
-    can = np.stack([np.ones(CONTEXTS), np.full(CONTEXTS, total > 0), gates % (len(STEPS) + 1) > 0, gates // (len(STEPS) + 1) > 0], 1)
-    weights = (sums + WEIGHT_PRIOR) * can
-    return weights / weights.sum(axis=1, keepdims=True)
-
-
-def predictions(c1: np.ndarray, c2: np.ndarray, c3: np.ndarray, one: np.ndarray, two: np.ndarray, spelled: np.ndarray, total: float, less: int = 0) -> np.ndarray:
-    """Each predictor's probability of the tokens; ``less`` = 1: as if each had not been counted once."""
-    share = lambda n, of: np.maximum(n - less, 0) / np.maximum(of - less, 1)
-    return np.stack([np.where(c1 > less, 0.0, spelled), share(c1, np.float64(total)), share(c2, one), share(c3, two)])
+FEATURES = "doc_ids array<long>, held array<boolean>, bytes array<long>, sizes array<int>, c1 binary, c2 binary, c3 binary, new binary, once binary"
+RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, score_unseen double, bits_per_byte double"
+NAMES = [c.split()[0] for c in RESULT.split(", ")]
+DOCS_AT_ONCE = 256
 
 
-def before(c1: np.ndarray, c2: np.ndarray, place: np.ndarray, texts: int) -> tuple[np.ndarray, np.ndarray]:
-    """How often the last token and the last two were seen; the start of a text precedes each."""
-    one, two = np.full_like(c1, texts), np.full_like(c2, texts)
-    one[1:], two[1:] = c1[:-1], c2[:-1]
-    one[place == 0], two[place == 0] = texts, texts
-    return one, two
+class Texts:
+    """Some texts with the corpus counts of what they hold."""
 
+    def __init__(self, row: dict):
+        self.held, self.lengths = np.array(row["held"], bool), np.array(row["sizes"], np.int64) + 1
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        n = int(self.lengths.sum())
+        self.counts = [grams.unpack(row[c], n) for c in ("c1", "c2", "c3")]
+        self.place = np.arange(n) - np.repeat(self.starts, self.lengths)
+        self.train = np.repeat(~self.held, self.lengths)
+        self.spelled = np.ones(n, np.float32)
+        self.spelled[self.counts[0] == 0] = np.frombuffer(row["new"], np.float32)
+        self.spelled[self.train & (self.counts[0] == 1)] = np.frombuffer(row["once"], np.float32)
 
-def explain(parts: np.ndarray, gate: np.ndarray, total: float) -> np.ndarray:
-    """What each predictor explains of the tokens, by gate, under weights fitted to them by expectation maximisation."""
-    sums = np.zeros((CONTEXTS, PARTS))
-    for _ in range(ROUNDS):
-        weights, sums = weights_of(sums, total), np.zeros((CONTEXTS, PARTS))
-        for at in range(0, len(gate), AT_ONCE):
-            g = gate[at : at + AT_ONCE]
-            share = weights[g].T * parts[:, at : at + AT_ONCE]
-            share /= np.maximum(share.sum(axis=0), 1e-300)
-            for k in range(PARTS):
-                sums[:, k] += np.bincount(g, share[k], CONTEXTS)
-    return sums
+    def places(self, texts: int, total: int, unseen: bool) -> Places:
+        """``unseen``: training places as if not counted once."""
+        return Places(*self.counts, self.place, texts, total, self.train if unseen else np.zeros_like(self.train))
 
+    def sums(self, x: np.ndarray) -> np.ndarray:
+        return np.add.reduceat(x, self.starts)
 
-FEATURES = "doc_ids array<long>, held array<boolean>, bytes array<long>, sizes array<int>, c1 binary, c2 binary, c3 binary, spelled binary, sums array<double>"
-RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double"
-DOCS_AT_ONCE = 256
+    def scores(self, mixer: Decisions, texts: int, total: int, unseen: bool) -> np.ndarray:
+        places = self.places(texts, total, unseen)
+        spelled = np.log10(np.maximum(self.spelled, 1e-300, dtype=np.float64))
+        return self.sums(mixer.log10_probabilities(places) + np.where(places.new, spelled, 0.0))
 
 
 def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held_fold: int = 1) -> DataFrame:
-    """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte.
+    """One row per row of ``docs``: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, score_unseen, bits_per_byte.
 
     Documents whose fold is ``held_fold`` teach nothing. Null text is empty: one token, its end.
-    base_score and score are log10 probabilities of the text by unigrams and by the model;
-    bits_per_byte is by the model, the end counting as a byte. Repeated rows are documents of their
+    base_score and score are log10 probabilities of the text by unigrams and by the model.
+    score_unseen takes each place of a training text as if it had not been counted, so that it compares
+    with held-out texts, whose two scores are equal; of a training text that score tells how well the
+    rest of the corpus predicts it. bits_per_byte is by score, over the bytes that are coded: those of
+    the words, one for white space after each, and one for the end. Repeated rows are documents of their
     own; an empty table gives no rows; other columns are ignored.
     """
     spark = docs.sparkSession
@@ -468,80 +462,77 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held_fold
     left_over = max(1 - spent - (end_spelled if ends else 0), 1e-9)
 
     def gather(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        """Counts of each token of the block's texts and of its contexts, and what they teach about weights."""
+        """The counts of each token of the block's texts and of the pair and triple that end there."""
         row = left.iloc[0]
         block = grams.block_of(row)
         names = block.tokens
         known_n = np.full(block.end + 1, ends)
         known_n[np.argsort(block.token_keys())] = grams.merged(right[right["kind"] == 1]) >> 1
         c1 = known_n[block.numbers]
-        pair, triple = block.gram_keys()
-        every, found = np.unique(np.concatenate((pair, triple))), grams.merged(right[right["kind"] == 2]) >> 1
-        c2, c3 = found[np.searchsorted(every, pair)], found[np.searchsorted(every, triple)]
-        del pair, triple, every, found
-
-        def spelled(which: np.ndarray, less: bool) -> np.ndarray:
-            out = np.zeros(block.end + 1)
-            for at in range(0, len(which), WORDS_AT_ONCE):
-                some = which[at : at + WORDS_AT_ONCE]
-                tokens = [None if i == block.end else names[i] for i in some]
-                out[some] = np.minimum(10 ** log10_probabilities(tokens, code, shared.value, mixer, less) / left_over, 1)
-            return out
-
-        one, two = before(c1, c2, block.place, ends)
-        train_at = np.flatnonzero(block.train)
-        sums = np.zeros((CONTEXTS, PARTS))
-        if len(train_at):
-            once = np.unique(block.numbers[train_at[c1[train_at] == 1]])
-            lone = spelled(once, True)
-            at = train_at
-            parts = predictions(c1[at], c2[at], c3[at], one[at], two[at], lone[block.numbers[at]], total, 1)
-            sums = explain(parts, context_gate(two[at] - 1, one[at] - 1), total - 1)
-            del parts
-        new = spelled(np.unique(block.numbers[c1 == 0]), False)[block.numbers]
-        out = [(None,) * 8 + (sums.ravel().tolist(),)]
+        keys = np.concatenate(block.gram_keys())
+        c2, c3 = np.split(grams.at_places(keys, grams.merged(right[right["kind"] == 2]) >> 1), 2)
+        del keys
+
+        def spelled(at: np.ndarray, less: bool) -> np.ndarray:
+            """Spelling's probability of the tokens at some places."""
+            which, place = np.unique(block.numbers[at], return_inverse=True)
+            out = np.zeros(len(which), np.float32)
+            for i in range(0, len(which), WORDS_AT_ONCE):
+                tokens = [None if t == block.end else names[t] for t in which[i : i + WORDS_AT_ONCE]]
+                out[i : i + WORDS_AT_ONCE] = np.minimum(10 ** log10_probabilities(tokens, code, shared.value, mixer, less) / left_over, 1)
+            return out[place]
+
+        new, once = np.flatnonzero(c1 == 0), np.flatnonzero(block.train & (c1 == 1))
+        columns = [(x, at, spelled(at, less)) for x, at, less in (("new", new, False), ("once", once, True))]
+        out = []
         limits = np.append(block.starts, len(c1))
         lists = [list(row[c]) for c in ("doc_ids", "held", "bytes", "sizes")]
         for i in range(0, len(block.starts), DOCS_AT_ONCE):
             j = min(i + DOCS_AT_ONCE, len(block.starts))
             a, b = limits[i], limits[j]
             ids = [None if k is None or k != k else int(k) for k in lists[0][i:j]]
-            out.append((ids, *(x[i:j] for x in lists[1:]), *(grams.pack(x[a:b]) for x in (c1, c2, c3)), new[a:b][c1[a:b] == 0].tobytes(), None))
-        return pd.DataFrame(out, columns=["doc_ids", "held", "bytes", "sizes", "c1", "c2", "c3", "spelled", "sums"])
+            spell = [p[np.searchsorted(at, a) : np.searchsorted(at, b)].tobytes() for _, at, p in columns]
+            out.append((ids, *(x[i:j] for x in lists[1:]), *(grams.pack(x[a:b]) for x in (c1, c2, c3)), *spell))
+        return pd.DataFrame(out, columns=["doc_ids", "held", "bytes", "sizes", "c1", "c2", "c3", "new", "once"])
 
-    counts = token_counts.select("block", F.lit(1).alias("kind"), "shard", "found").unionAll(gram_counts.select("block", F.lit(2).alias("kind"), "shard", "found"))
+    sent = ["block", "shard", "keys", "found"]
+    counts = token_counts.select(*sent, F.lit(1).alias("kind")).unionAll(gram_counts.select(*sent, F.lit(2).alias("kind")))
     features = stored(by_block(blocks).cogroup(by_block(counts)).applyInPandas(gather, FEATURES), "features")
-    explained = features.where("sums IS NOT NULL").select(F.posexplode("sums").alias("at", "x")).groupBy("at").agg(F.sum("x").alias("x")).collect()
-    sums = np.zeros(CONTEXTS * PARTS)
-    for r in explained:  # the weights' size
-        sums[r.at] = r.x
-    weights = weights_of(sums.reshape(CONTEXTS, PARTS), total)
+    release(blocks, token_counts, known)
+
+    def summed(give: Callable[[Places], np.ndarray], size: int) -> np.ndarray:
+        def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            trim()
+            out = np.zeros(size)
+            for batch in batches:
+                for row in batch.to_pylist():
+                    out += give(Texts(row).places(ends, total, True)).ravel()
+            at = np.flatnonzero(out)
+            yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(out[at])], ["at", "x"])
+
+        out = np.zeros(size)
+        for r in features.mapInArrow(add, "at int, x double").groupBy("at").agg(F.sum("x").alias("x")).collect():  # of the mixer's size
+            out[r.at] = r.x
+        return out
+
+    decisions = Decisions.new()
+    decisions.learn(summed)
 
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         for batch in batches:
             for row in batch.to_pylist():
-                yield _scored(row, weights, total, distinct, ends)
-
-    return features.where("sums IS NULL").drop("sums").mapInArrow(weigh, RESULT)
-
-
-def _scored(row: dict, weights: np.ndarray, total: int, distinct: int, ends: int) -> pa.RecordBatch:
-    lengths = np.array(row["sizes"], np.int64) + 1
-    starts = np.cumsum(lengths) - lengths
-    c1, c2, c3 = (grams.unpack(row[c]) for c in ("c1", "c2", "c3"))
-    place = np.arange(len(c1)) - np.repeat(starts, lengths)
-    spelled = np.zeros(len(c1))
-    spelled[c1 == 0] = np.frombuffer(row["spelled"])
-    one, two = before(c1, c2, place, ends)
-    parts = predictions(c1, c2, c3, one, two, spelled, total)
-    p = np.einsum("kn,nk->n", parts, weights[context_gate(two, one)])
-    by_text = lambda x: np.add.reduceat(x, starts)
-    model_score = by_text(np.log10(np.maximum(p, 1e-300)))
-    base = by_text(np.log10((c1 + 0.5) / (total + 0.5 * (distinct + 1))))
-    bits = -model_score / np.log10(2) / (np.array(row["bytes"]) + 1)
-    columns = [row["doc_ids"], row["held"], lengths, by_text((c1 > 0).astype(np.int64)), np.full(len(lengths), total), base, model_score, bits]
-    kinds = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], NAMES)
+                yield _scored(row, decisions, total, distinct, ends)
+
+    return features.mapInArrow(weigh, RESULT)
 
 
-NAMES = ["doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"]
+def _scored(row: dict, decisions: Decisions, total: int, distinct: int, ends: int) -> pa.RecordBatch:
+    texts = Texts(row)
+    c1, lengths = texts.counts[0], texts.lengths
+    score, unseen = (texts.scores(decisions, ends, total, less) for less in (False, True))
+    base = texts.sums(np.log10((c1 + 0.5) / (total + 0.5 * (distinct + 1))))
+    bits = -score / np.log10(2) / (np.array(row["bytes"]) + 1)
+    columns = [row["doc_ids"], row["held"], lengths, texts.sums((c1 > 0).astype(np.int64)), np.full(len(lengths), total), base, score, unseen, bits]
+    kinds = [pa.int64(), pa.bool_(), *[pa.int64()] * 3, *[pa.float64()] * 4]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], NAMES)
