@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,6 +30,18 @@ def _file(spark: SparkSession, path: str):
     return file.getFileSystem(spark._jsc.hadoopConfiguration()), file
 
 
+@contextmanager
+def freeing_shuffles(spark: SparkSession) -> Iterator[None]:
+    """Writes inside delete their shuffle files when they end; else these stay until the driver collects its garbage."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, "false")
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def staged(df: DataFrame, name: str = "staged", **options: str) -> DataFrame:
     """Write ``df`` as Parquet and read it back: cuts its plan and lineage, and survives lost executors.
 
@@ -35,7 +49,8 @@ def staged(df: DataFrame, name: str = "staged", **options: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.options(**options).parquet(path)
+    with freeing_shuffles(spark):
+        df.write.options(**options).parquet(path)
     return opened(spark, path, df)
 
 
