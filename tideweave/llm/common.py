@@ -17,6 +17,7 @@ scratch = new_path
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = "abcdefghijklmnopqrstuvwxyz"
 WORD = r"[^\x20\x09-\x0D]+"
+SPACES = b" \t\n\v\f\r"
 
 
 #: Rows of an Arrow batch of texts: the session's default of 10,000 may mean hundreds of MB.

@@ -21,8 +21,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideweave.llm.common import ascii_lower, scratch, stored
-from tideweave.sources.staging import opened
+from tideweave.llm.common import ascii_lower, stored
 
 #: Bits of the hit filter for each repeated digest, and their bounds: 4 KB and 128 MB.
 HIT_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 15, 1 << 30
@@ -36,17 +35,13 @@ def sha256_hex(text: Column) -> Column:
 
 def _flush(entries: DataFrame, name: str) -> DataFrame:
     """Write runs sorted by digest, each with a Bloom filter, and read them."""
-    path = scratch(entries.sparkSession, name)
-    (
-        entries.sortWithinPartitions("digest", "ident")
-        .write.option("maxRecordsPerFile", RUN_ROWS)
-        .option("parquet.bloom.filter.enabled#digest", "true")
-        .option("parquet.bloom.filter.adaptive.enabled", "true")
-        .option("parquet.bloom.filter.max.bytes", str(RUN_FILTER_BYTES))
-        .option("compression", "zstd")
-        .parquet(path)
-    )
-    return opened(entries.sparkSession, path, entries)
+    options = {
+        "maxRecordsPerFile": str(RUN_ROWS),
+        "parquet.bloom.filter.enabled#digest": "true",
+        "parquet.bloom.filter.adaptive.enabled": "true",
+        "parquet.bloom.filter.max.bytes": str(RUN_FILTER_BYTES),
+    }
+    return stored(entries.sortWithinPartitions("digest", "ident"), name, **options)
 
 
 def memtables(rows: DataFrame) -> DataFrame:

@@ -29,6 +29,10 @@ M1, M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 END_KEY, START_KEY = np.uint64(0x7C9E3A1B5D2F8E61), np.uint64(0x1D8AF066E2B3C495)
 
 
+#: Bits of the keys of pairs and triples.
+GRAM_BITS = 50
+
+
 def pack(x: np.ndarray) -> bytes:
     """Whole numbers of 0 or more: as many byte planes as the largest needs, each value's low byte first."""
     planes = (int(x.max()).bit_length() + 7) // 8 if len(x) else 0
@@ -86,7 +90,7 @@ class Block:
         with np.errstate(over="ignore"):
             pair = _mix(one * M1 + h)
             triple = _mix(_mix(two * M1 + one) * M1 + h)
-        return pair >> np.uint64(14), triple >> np.uint64(14)
+        return pair >> np.uint64(64 - GRAM_BITS), triple >> np.uint64(64 - GRAM_BITS)
 
 
 def block_of(row: dict) -> Block:
@@ -94,7 +98,7 @@ def block_of(row: dict) -> Block:
 
 
 #: By kind: bits of a key below its head, and how they are sent.
-TAIL = {"token": (64 - HEAD, np.uint64), "gram": (32, np.uint32)}
+TAIL = {"token": (64 - HEAD, np.uint64), "gram": (GRAM_BITS - HEAD, np.uint32)}
 
 
 def keys_of(block: Block, kind: str) -> tuple[np.ndarray, np.ndarray]:
@@ -119,9 +123,21 @@ def starts_of(ordered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate((ordered[:1] == ordered[:1], ordered[1:] != ordered[:-1])))
 
 
+def order_of(keys: np.ndarray) -> np.ndarray:
+    """The places of keys of 50 bits in their order: sorting numbers that hold both is far faster than sorting places."""
+    bits = len(keys).bit_length()
+    spare = np.uint64(max(0, GRAM_BITS + bits - 64))
+    both = (keys >> spare) << np.uint64(bits) | np.arange(len(keys), dtype=np.uint64)
+    both.sort()
+    order = (both & np.uint64((1 << bits) - 1)).astype(np.int64)
+    if spare:  # few keys differ in the spare bits alone
+        order = order[np.argsort(keys[order], kind="stable")]
+    return order
+
+
 def at_places(keys: np.ndarray, by_key: np.ndarray) -> np.ndarray:
     """For each of ``keys`` its value, given the values of the distinct keys in order."""
-    order = np.argsort(keys)
+    order = order_of(keys)
     ranked = keys[order]
     run = np.cumsum(np.concatenate((ranked[:1] != ranked[:1], ranked[1:] != ranked[:-1])))
     out = np.empty(len(keys), np.int64)

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideweave.llm import grams
-from tideweave.llm.common import ascii_lower, bound_batches, fold_of, parts_for, stored, trim
+from tideweave.llm.common import SPACES, ascii_lower, bound_batches, fold_of, parts_for, stored, trim
 from tideweave.llm.decisions import Mixer as Decisions
 from tideweave.llm.decisions import Places
 from tideweave.sources.staging import release
@@ -63,13 +63,21 @@ _BLOCKS = pa.schema(
 )
 
 
+class Numbers(dict):
+    """The number of each token, in order of first sight."""
+
+    def __missing__(self, token: bytes) -> int:
+        found = self[token] = len(self)
+        return found
+
+
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row for each block: its documents, their running token numbers, and its distinct tokens."""
     from pyspark import TaskContext
 
     trim()
     base, done = TaskContext.get().partitionId() << 24, 0
-    numbers: dict[bytes, int] = {}
+    numbers = Numbers()
     docs: list[tuple] = []
     ids: list[np.ndarray] = []
     chars = 0
@@ -84,14 +92,12 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             rows = batch.slice(at, 64).to_pydict()
             for key, held, data in zip(rows["doc_id"], rows["held_out"], rows["text"], strict=True):
                 words = data.split()
-                new = dict.fromkeys(w for w in words if w not in numbers)
-                numbers.update(zip(new, range(len(numbers), len(numbers) + len(new)), strict=True))
                 ids.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
-                docs.append((key, held, sum(map(len, words)) + len(words), len(words)))
+                docs.append((key, held, len(data.translate(None, SPACES)) + len(words), len(words)))
                 chars += len(data) + 64
                 if chars > BLOCK_CHARS:
                     yield flush()
-                    numbers, docs, ids, chars, done = {}, [], [], 0, done + 1
+                    numbers, docs, ids, chars, done = Numbers(), [], [], 0, done + 1
     if docs:
         yield flush()
 
@@ -193,7 +199,8 @@ def _log_odds(less0: int, less1: int) -> np.ndarray:
     return (ones[:, None] - zeros[None, :]).astype(np.float32).ravel()
 
 
-ODDS, ODDS_WITHOUT = _log_odds(0, 0), np.stack((_log_odds(1, 0), _log_odds(0, 1)))
+#: As they are, with a zero taken away, with a one taken away.
+ODDS = np.concatenate((_log_odds(0, 0), _log_odds(1, 0), _log_odds(0, 1)))
 
 
 def _seen(less: int) -> np.ndarray:
@@ -202,7 +209,7 @@ def _seen(less: int) -> np.ndarray:
     return np.searchsorted([1, 2, 4, 16], total, side="right").astype(np.int8)
 
 
-SEEN, SEEN_WITHOUT = _seen(0), _seen(1)
+SEEN = np.concatenate((_seen(0), _seen(1), _seen(1)))
 
 
 @dataclass
@@ -221,13 +228,14 @@ def _inputs(counters: np.ndarray, slots: list[np.ndarray], bit: np.ndarray | Non
     """(log-odds of each predictor, gate); with ``bit``, as if this occurrence had not been counted."""
     odds = np.empty((K, len(slots[0])), np.float32)
     gate = None
+    variant = np.int32(0) if bit is None else (bit + np.int32(1)) << 16
     for k, slot in enumerate(slots):
-        found = counters[slot]
-        odds[k] = ODDS[found] if bit is None else np.where(bit, ODDS_WITHOUT[1][found], ODDS_WITHOUT[0][found])
+        found = counters[slot] + variant
+        odds[k] = ODDS[found]
         if k == 3:
-            gate = np.minimum((SEEN if bit is None else SEEN_WITHOUT)[found], 3).astype(np.int64)
+            gate = np.minimum(SEEN[found], 3).astype(np.int64)
         elif k == 4:
-            gate = gate * 5 + (SEEN if bit is None else SEEN_WITHOUT)[found]
+            gate = gate * 5 + SEEN[found]
     return odds, gate
 
 
@@ -434,7 +442,7 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held_fold
     total = words + ends
     # Blocks repeat few of their tokens' keys: a fifth of the occurrences is ample for the number of shards.
     token_counts = stored(grams.corpus_counts(blocks, "token", occurrences // 5), "tokens")
-    gram_counts = grams.corpus_counts(blocks, "gram", 2 * occurrences)
+    gram_counts = stored(grams.corpus_counts(blocks, "gram", 2 * occurrences), "grams")
 
     def own(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         """The tokens that this block is the first to teach, and their corpus counts."""
@@ -498,7 +506,7 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held_fold
     sent = ["block", "shard", "keys", "found"]
     counts = token_counts.select(*sent, F.lit(1).alias("kind")).unionAll(gram_counts.select(*sent, F.lit(2).alias("kind")))
     features = stored(by_block(blocks).cogroup(by_block(counts)).applyInPandas(gather, FEATURES), "features")
-    release(blocks, token_counts, known)
+    release(blocks, token_counts, gram_counts, known)
 
     def summed(give: Callable[[Places], np.ndarray], size: int) -> np.ndarray:
         def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
