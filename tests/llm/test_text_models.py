@@ -295,7 +295,7 @@ def test_decisions_equal_a_plain_mixer(rng):
         seen = q(two) * 10 + q(one)
         three = max(c3[i - 1] - int(train[i - 1]), 0) if place[i] else 0
         pairs = last[1] * 4 + last[2]
-        contexts = [seen, sum((last[n] == 3) << n - 1 for n in range(1, 9)), run * 10 + q(two), pairs * 100 + seen, (last[3] * 16 + pairs) * 10 + q(one), q(three) * 32 + run]
+        contexts = [sum((last[n] == 3) << n - 1 for n in range(1, 9)), pairs * 100 + seen, (last[3] * 16 + pairs) * 10 + q(one), q(three) * 32 + run]
         asked.append([(d, yes == d, contexts, q(two) if d == 0 else q(one)) for d in range(min(yes, 2) + 1) if of[d] > 0])
         share = counts[yes] / of[yes] if yes < 3 else 1
         asked[-1].append(min(share, 1))
@@ -307,8 +307,8 @@ def test_decisions_equal_a_plain_mixer(rng):
         for d, y, contexts, gate in bits:
             n = lambda k, c, bit: seen[d, k, c, bit] - (train[i] and y == bit) + 0.4  # noqa: B023, E731
             x = [math.log(n(k, c, True) / n(k, c, False)) for k, c in enumerate(contexts)] + [0.3]
+            at = round((max(-8, min(8, sum(x[:-1]) / len(x[:-1]))) + 8) * 2)
             x = max(-8, min(8, sum(a * b for a, b in zip(x, learn.weights[d, gate], strict=True))))
-            at = round((x + 8) * 2)
             rates = learn.rates[d, gate, at]
             refined = (rates[1] + 8 / (1 + math.exp(8 - at / 2))) / (rates.sum() + 8)
             p = 0.5 / (1 + math.exp(-x)) + 0.5 * refined

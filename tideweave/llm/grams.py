@@ -3,20 +3,20 @@
 Each block of text sends the sorted keys it holds and how often its training texts have them to the
 shards of the key range; a shard adds up equal keys and sends each block the corpus counts of its
 keys, in the same order. Rows and shards grow with the corpus, nothing is broadcast or collected.
-Tokens are keyed by 64 bits of BLAKE2; pairs and triples by 50 bits, of which a block sends 32 and
+Tokens are keyed by 64 bits of XXH3; pairs and triples by 50 bits, of which a block sends 32 and
 how many keys each value of the others has (at 30 GB about one key in 200,000 shares another's).
 """
 
 from __future__ import annotations
 
-import zlib
+import struct
 from collections.abc import Iterator
-from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from xxhash import xxh3_64_digest
 
 from tideweave.llm.common import trim
 
@@ -33,22 +33,26 @@ END_KEY, START_KEY = np.uint64(0x7C9E3A1B5D2F8E61), np.uint64(0x1D8AF066E2B3C495
 GRAM_BITS = 50
 
 
+_ZSTD = pa.Codec("zstd", compression_level=1)
+_HEAD = struct.Struct("<BQ")
+
+
 def pack(x: np.ndarray) -> bytes:
     """Whole numbers of 0 or more: as many byte planes as the largest needs, each value's low byte first."""
     planes = (int(x.max()).bit_length() + 7) // 8 if len(x) else 0
+    head = _HEAD.pack(planes, len(x))
     if not planes:
-        return b"\x00" + zlib.compress(b"")
+        return head
     low = x.astype("<u8").view(np.uint8).reshape(-1, 8)
-    return bytes([planes]) + zlib.compress(b"".join(low[:, i].tobytes() for i in range(planes)), 1)
+    return head + _ZSTD.compress(low[:, :planes].T.tobytes(), asbytes=True)
 
 
-def unpack(blob: bytes, n: int | None = None) -> np.ndarray:
-    """What was packed; ``n`` numbers, needed where all may be 0."""
-    planes, data = blob[0], np.frombuffer(zlib.decompress(blob[1:]), np.uint8)
-    n = len(data) // planes if planes else n or 0
+def unpack(blob: bytes) -> np.ndarray:
+    planes, n = _HEAD.unpack_from(blob)
     out = np.zeros((n, 8), np.uint8)
-    for i in range(planes):
-        out[:, i] = data[i * n : (i + 1) * n]
+    if planes:
+        data = _ZSTD.decompress(pa.py_buffer(blob)[_HEAD.size :], planes * n)
+        out[:, :planes] = np.frombuffer(data, np.uint8).reshape(planes, n).T
     return out.view("<i8").ravel()
 
 
@@ -58,7 +62,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
 
 
 def token_keys(tokens: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(blake2b(t, digest_size=8).digest() for t in tokens), np.uint64)
+    return np.frombuffer(b"".join(map(xxh3_64_digest, tokens)), np.uint64)
 
 
 class Block:
@@ -72,7 +76,7 @@ class Block:
         self.numbers = np.full(int(lengths.sum()), self.end, np.int64)
         inside = np.ones(len(self.numbers), bool)
         inside[self.starts + lengths - 1] = False
-        self.numbers[inside] = unpack(ids, int(inside.sum()))
+        self.numbers[inside] = unpack(ids)
         self.train = np.repeat(~np.asarray(held, bool), lengths)
         self.place = np.arange(len(self.numbers)) - np.repeat(self.starts, lengths)
 
@@ -148,11 +152,11 @@ def at_places(keys: np.ndarray, by_key: np.ndarray) -> np.ndarray:
 _PIECES = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("heads", pa.binary()), ("tails", pa.binary()), ("counts", pa.binary())])
 
 
-FOUND = "block long, shard int, keys long, found binary"
+FOUND = "block long, shard int, found binary"
 
 
 def corpus_counts(blocks: DataFrame, kind: str, keys: int) -> DataFrame:
-    """(block, shard, keys, found): for each block's keys of a shard in order, twice the corpus count, plus 1 where the block is the first to teach the key.
+    """(block, shard, found): for each block's keys of a shard in order, twice the corpus count, plus 1 where the block is the first to teach the key.
 
     ``keys``: about how many keys all blocks send.
     """
@@ -184,10 +188,10 @@ def corpus_counts(blocks: DataFrame, kind: str, keys: int) -> DataFrame:
 
     def add(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("block")
-        heads = np.concatenate([np.repeat(np.arange(per, dtype=np.uint64), unpack(x, per)) for x in frame["heads"]])
+        heads = np.concatenate([np.repeat(np.arange(per, dtype=np.uint64), unpack(x)) for x in frame["heads"]])
         tails = np.concatenate([np.frombuffer(x, tail) for x in frame["tails"]])
         sizes = [len(x) // np.dtype(tail).itemsize for x in frame["tails"]]
-        counts = [unpack(x, n) for x, n in zip(frame["counts"], sizes, strict=True)]
+        counts = [unpack(x) for x in frame["counts"]]
         every, counts = heads << np.uint64(bits) | tails, np.concatenate(counts)
         del heads, tails
         order = np.argsort(every, kind="stable")
@@ -200,8 +204,7 @@ def corpus_counts(blocks: DataFrame, kind: str, keys: int) -> DataFrame:
         found = np.empty(len(every), np.int64)
         found[order] = sums[run] * 2 + owner
         parts = np.split(found, np.cumsum(sizes)[:-1])
-        columns = {"block": frame["block"].to_numpy(), "shard": frame["shard"].to_numpy(), "keys": sizes, "found": list(map(pack, parts))}
-        return pd.DataFrame(columns)
+        return pd.DataFrame({"block": frame["block"].to_numpy(), "shard": frame["shard"].to_numpy(), "found": list(map(pack, parts))})
 
     sent = blocks.select("block", "tokens", "ids", "sizes", "held").mapInArrow(pieces, "shard int, block long, heads binary, tails binary, counts binary")
     return sent.groupBy("shard").applyInPandas(add, FOUND)
@@ -210,4 +213,4 @@ def corpus_counts(blocks: DataFrame, kind: str, keys: int) -> DataFrame:
 def merged(frame: pd.DataFrame) -> np.ndarray:
     """All counts that a block got, in the order of its keys."""
     frame = frame.sort_values("shard")
-    return np.concatenate([np.zeros(0, np.int64), *(unpack(x, n) for x, n in zip(frame["found"], frame["keys"], strict=True))])
+    return np.concatenate([np.zeros(0, np.int64), *map(unpack, frame["found"])])

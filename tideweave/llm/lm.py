@@ -5,7 +5,7 @@ all (``decisions``); and if it was not, by its spelling. Texts begin with a star
 their end. All that may follow a place shares probability 1 at most.
 
 Spelling codes a token bit by bit: its bytes and an end mark, each along the path of a Huffman code.
-For every bit several predictors look up counters by a hash of their context (the last one to four
+For every bit several predictors look up counters by a hash of their context (the last two to four
 bytes of the word, all of its beginning, or the place in it); their log-odds are mixed with weights
 chosen by a gate, trained online, and refined by an adaptive table of observed rates.
 
@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tideweave.llm import grams
-from tideweave.llm.common import SPACES, ascii_lower, bound_batches, fold_of, parts_for, stored, trim
+from tideweave.llm.common import SPACES, bound_batches, fold_of, parts_for, stored, trim
 from tideweave.llm.decisions import Mixer as Decisions
 from tideweave.llm.decisions import Places
 from tideweave.sources.staging import release
@@ -41,8 +41,8 @@ BLOCK_CHARS = 16 << 20
 #: The end of a text, and the mark after a word; a space never occurs within one.
 END, MARK = 256, 32
 SYMBOLS = 257
-#: Bits of the counters of each predictor: orders 1 to 4, the word so far, and the place in it.
-TABLE_BITS = (16, 18, 20, 21, 22, 14)
+#: Bits of the counters of each predictor: orders 2 to 4, the word so far, and the place in it.
+TABLE_BITS = (18, 20, 21, 22, 14)
 OFFSETS = np.concatenate(([0], np.cumsum([1 << b for b in TABLE_BITS])))
 K = len(TABLE_BITS)
 #: Counts are kept in a byte: exact to 15, then in steps of 13 %.
@@ -91,7 +91,7 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for at in range(0, batch.num_rows, 64):
             rows = batch.slice(at, 64).to_pydict()
             for key, held, data in zip(rows["doc_id"], rows["held_out"], rows["text"], strict=True):
-                words = data.split()
+                words = data.lower().split()  # of bytes: A-Z only
                 ids.append(np.fromiter(map(numbers.__getitem__, words), np.int32, len(words)))
                 docs.append((key, held, len(data.translate(None, SPACES)) + len(words), len(words)))
                 chars += len(data) + 64
@@ -158,7 +158,8 @@ def contexts(data: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
             back[n:] = value[:-n]
             back[place < n] = 0
             h = h * M1 + back
-            out.append(_mix(h + np.uint64(n)))
+            if n > 1:
+                out.append(_mix(h + np.uint64(n)))
         # All symbols before this one: differences of a running sum of mixed symbols and places.
         mixed = _mix(value * M1 + (place.astype(np.uint64) + np.uint64(1)) * M2)
         run = np.concatenate(([np.uint64(0)], np.cumsum(mixed)))[:-1]
@@ -232,9 +233,9 @@ def _inputs(counters: np.ndarray, slots: list[np.ndarray], bit: np.ndarray | Non
     for k, slot in enumerate(slots):
         found = counters[slot] + variant
         odds[k] = ODDS[found]
-        if k == 3:
+        if k == 2:
             gate = np.minimum(SEEN[found], 3).astype(np.int64)
-        elif k == 4:
+        elif k == 3:
             gate = gate * 5 + SEEN[found]
     return odds, gate
 
@@ -299,10 +300,9 @@ def _token_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[byt
         yield tokens, np.concatenate(counts)
 
 
-def _in_order(frame: pd.DataFrame) -> Iterator[tuple[list[bytes], np.ndarray]]:
-    """Tokens of a bucket and their counts, in order, WORDS_AT_ONCE at a time."""
+def _parts(frame: pd.DataFrame) -> Iterator[tuple[list[bytes], np.ndarray]]:
+    """Tokens of a bucket and their counts, WORDS_AT_ONCE at a time."""
     trim()
-    frame = frame.sort_values("token")
     for at in range(0, len(frame), WORDS_AT_ONCE):
         part = frame.iloc[at : at + WORDS_AT_ONCE]
         yield list(part["token"]), part["n"].to_numpy(float)
@@ -330,7 +330,7 @@ def train(vocabulary: DataFrame, end_count: int) -> Model:
 
     def count(frame: pd.DataFrame) -> pd.DataFrame:
         total = np.zeros((2, OFFSETS[-1]), np.float32)
-        for tokens, n in _in_order(frame):
+        for tokens, n in _parts(frame):
             for owner, bit, slots in steps(tokens, code):
                 for slot in slots:
                     np.add.at(total.reshape(-1), slot + bit * OFFSETS[-1], n[owner].astype(np.float32))
@@ -357,7 +357,7 @@ def train(vocabulary: DataFrame, end_count: int) -> Model:
 
     def mix(frame: pd.DataFrame) -> pd.DataFrame:
         mixer, squares = Mixer.new(), np.zeros((GATES, K))
-        for tokens, counts in _in_order(frame):
+        for tokens, counts in _parts(frame.sort_values("token")):
             learn(tokens, counts, code, shared.value, mixer, squares)
         out = np.concatenate((mixer.weights.ravel() * len(frame), mixer.rates.ravel(), [len(frame)]))
         return pd.DataFrame({"at": np.arange(len(out), dtype=np.int32), "x": out})
@@ -397,24 +397,34 @@ class Texts:
         self.held, self.lengths = np.array(row["held"], bool), np.array(row["sizes"], np.int64) + 1
         self.starts = np.cumsum(self.lengths) - self.lengths
         n = int(self.lengths.sum())
-        self.counts = [grams.unpack(row[c], n) for c in ("c1", "c2", "c3")]
+        self.counts = [grams.unpack(row[c]) for c in ("c1", "c2", "c3")]
         self.place = np.arange(n) - np.repeat(self.starts, self.lengths)
         self.train = np.repeat(~self.held, self.lengths)
         self.spelled = np.ones(n, np.float32)
         self.spelled[self.counts[0] == 0] = np.frombuffer(row["new"], np.float32)
         self.spelled[self.train & (self.counts[0] == 1)] = np.frombuffer(row["once"], np.float32)
 
-    def places(self, texts: int, total: int, unseen: bool) -> Places:
-        """``unseen``: training places as if not counted once."""
-        return Places(*self.counts, self.place, texts, total, self.train if unseen else np.zeros_like(self.train))
+    def places(self, texts: int, total: int) -> Places:
+        """Training places as if not counted once."""
+        return Places(*self.counts, self.place, texts, total, self.train)
 
     def sums(self, x: np.ndarray) -> np.ndarray:
         return np.add.reduceat(x, self.starts)
 
-    def scores(self, mixer: Decisions, texts: int, total: int, unseen: bool) -> np.ndarray:
-        places = self.places(texts, total, unseen)
+    def scores(self, mixer: Decisions, texts: int, total: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of each text as it is, and as if its places had not been counted once."""
         spelled = np.log10(np.maximum(self.spelled, 1e-300, dtype=np.float64))
-        return self.sums(mixer.log10_probabilities(places) + np.where(places.new, spelled, 0.0))
+
+        def score(at: np.ndarray | slice, starts: np.ndarray, less: np.ndarray) -> np.ndarray:
+            places = Places(*(c[at] for c in self.counts), self.place[at], texts, total, less)
+            return np.add.reduceat(mixer.log10_probabilities(places) + np.where(places.new, spelled[at], 0.0), starts)
+
+        full = score(slice(None), self.starts, np.zeros_like(self.train))
+        unseen, mine = full.copy(), ~self.held
+        if mine.any():  # the scores of held-out texts are the same
+            lengths = self.lengths[mine]
+            unseen[mine] = score(np.flatnonzero(self.train), np.cumsum(lengths) - lengths, np.ones(lengths.sum(), bool))
+        return full, unseen
 
 
 def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held_fold: int = 1) -> DataFrame:
@@ -433,7 +443,7 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held_fold
     rows = docs.select(
         F.col(doc_id).cast("long").alias("doc_id"),
         (fold_of(F.col(doc_id)) == held_fold).alias("held_out"),
-        ascii_lower(F.col(text)).cast("binary").alias("text"),
+        F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"),
     )
     blocks = stored(rows.mapInArrow(_blocks, BLOCKS), "blocks")
     sizes = blocks.select(F.explode(F.arrays_zip("held", "sizes")).alias("d")).select("d.held", "d.sizes")
@@ -503,7 +513,7 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held_fold
             out.append((ids, *(x[i:j] for x in lists[1:]), *(grams.pack(x[a:b]) for x in (c1, c2, c3)), *spell))
         return pd.DataFrame(out, columns=["doc_ids", "held", "bytes", "sizes", "c1", "c2", "c3", "new", "once"])
 
-    sent = ["block", "shard", "keys", "found"]
+    sent = ["block", "shard", "found"]
     counts = token_counts.select(*sent, F.lit(1).alias("kind")).unionAll(gram_counts.select(*sent, F.lit(2).alias("kind")))
     features = stored(by_block(blocks).cogroup(by_block(counts)).applyInPandas(gather, FEATURES), "features")
     release(blocks, token_counts, gram_counts, known)
@@ -514,7 +524,7 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held_fold
             out = np.zeros(size)
             for batch in batches:
                 for row in batch.to_pylist():
-                    out += give(Texts(row).places(ends, total, True)).ravel()
+                    out += give(Texts(row).places(ends, total)).ravel()
             at = np.flatnonzero(out)
             yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(out[at])], ["at", "x"])
 
@@ -538,7 +548,7 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held_fold
 def _scored(row: dict, decisions: Decisions, total: int, distinct: int, ends: int) -> pa.RecordBatch:
     texts = Texts(row)
     c1, lengths = texts.counts[0], texts.lengths
-    score, unseen = (texts.scores(decisions, ends, total, less) for less in (False, True))
+    score, unseen = texts.scores(decisions, ends, total)
     base = texts.sums(np.log10((c1 + 0.5) / (total + 0.5 * (distinct + 1))))
     bits = -score / np.log10(2) / (np.array(row["bytes"]) + 1)
     columns = [row["doc_ids"], row["held"], lengths, texts.sums((c1 > 0).astype(np.int64)), np.full(len(lengths), total), base, score, unseen, bits]
