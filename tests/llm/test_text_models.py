@@ -1,9 +1,13 @@
 """Quality rules (4), pseudonyms (5), language identification (6) and language-model scores (7)."""
 
 import collections
+import datetime
+import hashlib
+import hmac
 import itertools
 import math
 import re
+import time
 import zlib
 
 import numpy as np
@@ -95,7 +99,7 @@ def test_pseudonyms(spark, odd, empty):
         "nothing of the kind in 12 words, 3.5 % of all",
         None,
     ]
-    rows = pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    rows = pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").orderBy("doc_id").collect()
     for text, row in zip(texts, rows, strict=True):
         if text is None or text.startswith("nothing"):
             assert row.text == text and not row.changed
@@ -112,14 +116,14 @@ def test_pseudonyms(spark, odd, empty):
     codes = re.findall(r"[A-Z]{2}\d\d(?:[A-Z0-9]{18}|[A-Z0-9 ]{21}\d\d?)", rows[6].text)
     sums = [int("".join(str(int(c, 36)) for c in (x[4:] + x[:4]))) % 97 for x in (y.replace(" ", "") for y in codes)]
     assert sums[:2] == [1, 1] and codes[2].startswith("GB83WEST1234") and codes[0].startswith("DE") and (rows[6].n_iban, rows[6].n_phone) == (2, 1)
-    assert pii.pseudonymise(odd).count() == odd.count() and pii.pseudonymise(empty).count() == 0
+    assert pii.pseudonymise(odd, "k").count() == odd.count() and pii.pseudonymise(empty, "k").count() == 0
 
 
 def test_pseudonyms_of_cards_beside_other_numbers_and_of_plain_phones(spark):
     card = "4111 1111 1111 1111"
     texts = [f"{card} 05/27", "4111111111111111 123", f"12 {card}", f"123 456 {card} 99", f"{card} 5500 0000 0000 0004", f"{card} 12/05/2027", f"{card} 10.20.30.40"]
     texts += ["call 1-202-555-0143", "call 202 555 0143 now", "call 202-555-0143", "no 4111 1111 1111 1112 here"]
-    rows = pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    rows = pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").orderBy("doc_id").collect()
     assert [r.n_card for r in rows] == [1, 1, 1, 1, 2, 1, 1, 0, 0, 0, 0]
     assert [(r.n_phone, r.n_date, r.n_ip) for r in rows] == [(0, 0, 0)] * 5 + [(0, 1, 0), (0, 0, 1)] + [(1, 0, 0)] * 3 + [(0, 0, 0)]
     plain = lambda r: re.sub(r"\D", "", r.text)
@@ -131,6 +135,81 @@ def test_pseudonyms_of_cards_beside_other_numbers_and_of_plain_phones(spark):
     assert plain(rows[7])[1:] == plain(rows[8]) == plain(rows[9])
 
 
+def mac(kind, turn, half):
+    return hmac.new(b"k", f"{kind}\x1f{turn}\x1f{half}".encode(), "sha256").hexdigest()
+
+
+def feistel(left, right, a, b, kind):
+    for i in range(8):
+        if i % 2 == 0:
+            left = (left + int(mac(kind, i, right)[:15], 16)) % a
+        else:
+            right = (right + int(mac(kind, i, left)[:15], 16)) % b
+    return left, right
+
+
+def digits_brute(text, kind):
+    n = len(text)
+    m = (n + 1) // 2
+    left, right = feistel(int(text[:m]), int(text[m:]), 10**m, 10 ** (n - m), f"{kind}{n}")
+    return f"{left:0{m}d}{right:0{n - m}d}"
+
+
+def text_brute(text, kind, classes):
+    halves = [text[: len(text) // 2], text[len(text) // 2 :]]
+    for i in range(8):
+        digest, out = mac(kind, i, halves[1 - i % 2]), ""
+        for at, c in enumerate(halves[i % 2]):
+            by = int(hashlib.sha256(f"{digest}{at}".encode()).hexdigest()[:8], 16)
+            alphabet = next((x for x in classes if c in x), None)
+            out += alphabet[(alphabet.index(c) + by) % len(alphabet)] if alphabet else c
+        halves[i % 2] = out
+    return "".join(halves)
+
+
+def test_pseudonyms_equal_a_plain_feistel(spark, rng):
+    number = lambda n: "".join(rng.choices("0123456789", k=n))
+    texts, want = [], []
+    for n in range(13, 20):
+        body = number(n - 1)
+        check = lambda x: x + next(c for c in "0123456789" if luhn(x + c))
+        texts.append(check(body))
+        want.append(check(digits_brute(body, "card")))
+    for _ in range(6):
+        area, rest = rng.choice("2345"), number(9)
+        texts.append(f"{area}{rest[:2]}-{rest[2:5]}-{rest[5:]}")
+        new = digits_brute(area + rest, "phone")
+        want.append(f"{new[:3]}-{new[3:6]}-{new[6:]}")
+        ip = rng.randrange(1 << 32)
+        left, right = feistel(ip >> 16, ip & 0xFFFF, 1 << 16, 1 << 16, "ip")
+        texts.append(".".join(str(b) for b in ip.to_bytes(4, "big")))
+        want.append(".".join(str(b) for b in (left << 16 | right).to_bytes(4, "big")))
+        first, day = datetime.date(1900, 1, 1), rng.randrange(pii.DAYS)
+        texts.append(str(first + datetime.timedelta(day)))
+        a, b = 271, 270
+        while True:
+            left, right = feistel(day // b, day % b, a, b, "date")
+            day = left * b + right
+            if day < pii.DAYS:
+                break
+        want.append(str(first + datetime.timedelta(day)))
+        local = "".join(rng.choices("abcXYZ019._", k=rng.randint(1, 12))) + "e"
+        texts.append(f"{local}@example.org")
+        want.append(text_brute(local, "email", pii.CLASSES) + "@example.org")
+    rows = pii.pseudonymise(spark.createDataFrame([(i, f"see {t} there") for i, t in enumerate(texts)], "doc_id long, text string"), "k").orderBy("doc_id").collect()
+    assert [r.text for r in rows] == [f"see {w} there" for w in want]
+
+
+def test_pseudonyms_take_time_in_proportion_to_the_text(spark):
+    texts = ["a" * 1_000_000, "1" * 1_000_000, "a@" * 200_000, "a.b-" * 200_000, "4111 1111 1111 1111 " * 5_000, "x@a.b " * 20_000]
+    began = time.time()
+    rows = pii.pseudonymise(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), "k").orderBy("doc_id").collect()
+    assert [len(r.text) for r in rows] == list(map(len, texts)) and [r.changed for r in rows] == [False, False, False, False, True, False]
+    assert time.time() - began < 60
+    with pytest.raises(ValueError):
+        pii.pseudonymise(spark.range(1), "")
+
+
 def tongue(rng, sounds, n):
     return " ".join("".join(rng.choices(sounds, k=rng.randint(1, 4))) for _ in range(n))
 

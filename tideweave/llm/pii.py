@@ -1,7 +1,8 @@
 """Format-preserving pseudonyms for personal data, with SQL functions only.
 
 Validated numbers and dates are replaced by a keyed permutation of their own format: a Feistel
-network over the set of values that the format allows, walked until it lands inside the set. Equal
+network over the set of values that the format allows, walked until it lands inside the set, with
+HMAC-SHA-256 as its round function. Equal
 values get equal pseudonyms in every document, different values different ones, and nothing is
 stored: the key is all that links them. E-mail addresses and quoted secrets are permuted character
 by character within each character's class.
@@ -21,14 +22,18 @@ A text without a match is returned as it is.
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 8
-#: Cycle walking: sets are cut from products at most 1 + 1e-4 times as large, so 24 turns always suffice in practice.
+#: Cycle walking: sets are cut from products at most 1.002 times as large, so 24 turns always suffice in practice.
 TURNS = 24
 
-EMAIL = r"[A-Za-z0-9][A-Za-z0-9._%+-]*@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
+#: Begins where a run of its characters does and never gives any back, so that long runs take time in proportion.
+EMAIL = r"(?<![A-Za-z0-9._%+-])[._%+-]*+[A-Za-z0-9][A-Za-z0-9._%+-]*+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}"
 SECRET = r"""(?<=(?:token|secret|passwd|password|api_key|apikey)"?\s{0,3}[=:]\s{0,3}["'])[^"'\s]{8,}(?=["'])"""
 ISO = r"(?<![\d.-])\d{4}-\d{2}-\d{2}(?![\d-])"
 SLASH = r"(?<![\d/.])\d{2}[/.]\d{2}[/.]\d{4}(?![\d/])"
@@ -48,9 +53,34 @@ KINDS = ("card", "iban", "ssn", "phone", "ip", "date", "email", "secret")
 FIRST_DAY, DAYS = "1900-01-01", 73_049
 
 
-def _hash(key: str, kind: str, turn: Column, half: Column) -> Column:
-    """A keyed round function of 62 bits."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit(key), F.lit(kind), turn, half, F.lit(key[::-1])), 2)
+def let(value: Column, then: Callable[[Column], Column]) -> Column:
+    """``then`` of a value that is worked out once."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def _mac(key: str, *message: Column) -> Column:
+    """HMAC-SHA-256 of the parts of a message, in hexadecimal."""
+    block = key.encode() if len(key.encode()) <= 64 else hashlib.sha256(key.encode()).digest()
+    inner, outer = (bytes(x ^ y for x, y in zip(block.ljust(64, b"\0"), bytes([pad]) * 64, strict=True)) for pad in (0x36, 0x5C))
+    text = F.concat_ws("\x1f", *(m.cast("string") for m in message)).cast("binary")
+    return F.sha2(F.concat(F.lit(outer), F.unhex(F.sha2(F.concat(F.lit(inner), text), 256))), 256)
+
+
+def _number(digest: Column, digits: int = 15) -> Column:
+    return F.conv(F.substring(digest, 1, digits), 16, 10).cast("long")
+
+
+def _feistel(left: Column, right: Column, a: Column, b: Column, key: str, kind: Column) -> Column:
+    """struct(l, r) of the halves (below a and b) after rounds that shift one by a keyed hash of the other."""
+
+    def step(s: Column, i: Column) -> Column:
+        even = F.pmod(i, F.lit(2)) == 0
+        half, other, size = (F.when(even, x).otherwise(y) for x, y in ((s["l"], s["r"]), (s["r"], s["l"]), (a, b)))
+        moved = F.pmod(half + F.pmod(_number(_mac(key, kind, i, other)), size), size)
+        return let(moved, lambda new: F.struct(F.when(even, new).otherwise(s["l"]).alias("l"), F.when(even, s["r"]).otherwise(new).alias("r")))
+
+    rounds = F.array(*(F.lit(i) for i in range(ROUNDS)))
+    return F.aggregate(rounds, F.struct(left.alias("l"), right.alias("r")), step)
 
 
 def permute(value: Column, size: int, key: str, kind: str) -> Column:
@@ -61,24 +91,30 @@ def permute(value: Column, size: int, key: str, kind: str) -> Column:
     b = -(-size // a)
 
     def once(x: Column) -> Column:
-        # Halves of sizes a and b change places each round, so the number of rounds is even.
         quotient = ((x - F.pmod(x, F.lit(b))).cast("decimal(20,0)") / F.lit(b).cast("decimal(20,0)")).cast("long")
-        begin = F.struct(quotient.alias("l"), F.pmod(x, F.lit(b)).alias("r"))
-
-        def step(s: Column, i: Column) -> Column:
-            even = F.pmod(i, F.lit(2)) == 0
-            return F.struct(
-                F.when(even, F.pmod(s["l"] + F.pmod(_hash(key, kind, i, s["r"]), F.lit(a)), F.lit(a))).otherwise(s["l"]).alias("l"),
-                F.when(even, s["r"]).otherwise(F.pmod(s["r"] + F.pmod(_hash(key, kind, i, s["l"]), F.lit(b)), F.lit(b))).alias("r"),
-            )
-
-        rounds = F.array(*(F.lit(i) for i in range(ROUNDS)))
-        return F.aggregate(rounds, begin, step, lambda s: s["l"] * F.lit(b) + s["r"])
+        found = _feistel(quotient, F.pmod(x, F.lit(b)), F.lit(a).cast("long"), F.lit(b).cast("long"), key, F.lit(kind))
+        return let(found, lambda s: s["l"] * F.lit(b) + s["r"])
 
     if a * b == size:
         return once(value)
     turns = F.array(*(F.lit(i) for i in range(TURNS)))
-    return F.aggregate(turns, F.lit(-1).cast("long"), lambda x, i: F.when(i == 0, once(value)).when(x < size, x).otherwise(once(x)))
+    turn = lambda x, i: F.when((i > 0) & (x < size), x).otherwise(once(F.when(i == 0, value).otherwise(x)))
+    return F.aggregate(turns, F.lit(-1).cast("long"), turn)
+
+
+def permute_digits(digits: Column, key: str, kind: str) -> Column:
+    """A keyed permutation of the digit strings of one length, 2 to 36: Feistel over the two halves of the string."""
+    n = F.length(digits)
+    first = F.ceil(n / 2).cast("int")
+    size = lambda k: F.pow(F.lit(10.0), k).cast("long")
+    left, right = digits.substr(F.lit(1), first).cast("long"), digits.substr(first + 1, n - first).cast("long")
+    found = _feistel(left, right, size(first), size(n - first), key, F.concat(F.lit(kind), n.cast("string")))
+    show = lambda x, k: F.lpad(x.cast("string"), k, F.lit("0"))
+    return let(found, lambda s: F.concat(show(s["l"], first), show(s["r"], n - first)))
+
+
+def _made(valid: Column, text: Column, n: Column | None = None) -> Column:
+    return F.struct(valid.alias("valid"), text.alias("text"), (F.lit(1) if n is None else n).alias("n"))
 
 
 def _digits(text: Column) -> Column:
@@ -111,19 +147,20 @@ def luhn_sum(digits: Column, double_last: bool) -> Column:
 
 
 def _one_card(m: Column, key: str) -> Column:
+    def made(new: Column) -> Column:
+        check = F.pmod(10 - F.pmod(luhn_sum(new, True), F.lit(10)), F.lit(10))
+        return _pour(m, F.concat(new, check.cast("string")))
+
     digits = _digits(m)
-    n = F.length(digits)
-    body = digits.substr(F.lit(1), n - 1)
-    new = F.lit(None).cast("string")
-    for k in range(12, 19):
-        new = F.when(n == k + 1, F.lpad(permute(body.cast("long"), 10**k, key, f"card{k}").cast("string"), k, "0")).otherwise(new)
-    check = F.pmod(10 - F.pmod(luhn_sum(new, True), F.lit(10)), F.lit(10))
-    return _pour(m, F.concat(new, check.cast("string")))
+    return let(permute_digits(digits.substr(F.lit(1), F.length(digits) - 1), key, "card"), made)
 
 
-def _card(m: Column, key: str) -> tuple[Column, Column, Column]:
+def _card(m: Column, key: str) -> Column:
     """From left to right, the longest valid card that begins at each separator."""
-    groups = F.regexp_extract_all(m, F.lit(r"\d+[ -]?"), F.lit(0))
+    return let(F.regexp_extract_all(m, F.lit(r"\d+[ -]?"), F.lit(0)), lambda groups: _cards_among(groups, key))
+
+
+def _cards_among(groups: Column, key: str) -> Column:
     n = F.size(groups)
 
     def joined(i: Column, j: Column) -> Column:
@@ -147,45 +184,50 @@ def _card(m: Column, key: str) -> tuple[Column, Column, Column]:
 
     start = F.struct(F.array().cast("array<struct<a:int,b:int>>").alias("spans"), F.lit(0).alias("next"))
     spans = F.aggregate(F.sequence(F.lit(0), n - 1), start, step, lambda s: s["spans"])
-    cards = F.size(F.filter(spans, lambda x: x["b"] >= 0))
-    made = F.transform(spans, lambda x: F.when(x["b"] >= 0, _one_card(joined(x["a"], x["b"]), key)).otherwise(F.get(groups, x["a"])))
-    return cards > 0, F.array_join(made, ""), cards
+
+    def made(spans: Column) -> Column:
+        cards = F.size(F.filter(spans, lambda x: x["b"] >= 0))
+        parts = F.transform(spans, lambda x: F.when(x["b"] >= 0, _one_card(joined(x["a"], x["b"]), key)).otherwise(F.get(groups, x["a"])))
+        return _made(cards > 0, F.array_join(parts, ""), cards)
+
+    return let(spans, made)
 
 
-def _ssn(m: Column, key: str) -> tuple[Column, Column]:
+def _ssn(m: Column, key: str) -> Column:
     part = lambda at, n: F.substring(m, at, n).cast("long")
     area, group, serial = part(1, 3), part(5, 2), part(8, 4)
     valid = (area.between(1, 899) & (area != 666)) & (group > 0) & (serial > 0)
     rank = ((area - F.when(area > 666, 2).otherwise(1)) * 99 + group - 1) * 9999 + serial - 1
-    new = permute(rank, 898 * 99 * 9999, key, "ssn")
-    serial2 = F.pmod(new, F.lit(9999)) + 1
-    rest = ((new - serial2 + 1) / 9999).cast("long")
-    area2 = (rest / 99).cast("long") + 1
-    area2 = area2 + F.when(area2 >= 666, 1).otherwise(0)
-    return valid, F.format_string("%03d-%02d-%04d", area2, F.pmod(rest, F.lit(99)) + 1, serial2)
 
+    def made(new: Column) -> Column:
+        serial2 = F.pmod(new, F.lit(9999)) + 1
+        rest = ((new - serial2 + 1) / 9999).cast("long")
+        area2 = (rest / 99).cast("long") + 1
+        area2 = area2 + F.when(area2 >= 666, 1).otherwise(0)
+        return _made(valid, F.format_string("%03d-%02d-%04d", area2, F.pmod(rest, F.lit(99)) + 1, serial2))
 
-def _phone(m: Column, key: str) -> tuple[Column, Column]:
+    return let(F.when(valid, permute(rank, 898 * 99 * 9999, key, "ssn")), made)
+
+
+def _phone(m: Column, key: str) -> Column:
     country = F.regexp_extract(m, r"^(\+\d{1,3}(?=[ .(-])|1(?=[ .-]))", 1)
     country = F.when((country == "") & m.startswith("+"), F.substring(m, 1, 3)).otherwise(country)
     rest = m.substr(F.length(country) + 1, F.length(m))
     digits = _digits(rest)
-    n = F.length(digits)
-    new = F.lit(None).cast("string")
-    for k in range(5, 17):
-        new = F.when(n == k, F.lpad(permute(digits.cast("long"), 10**k, key, f"phone{k}").cast("string"), k, "0")).otherwise(new)
-    return new.isNotNull() & (F.length(_digits(m)) <= 15), F.concat(country, _pour(rest, new))
+    valid = F.length(digits).between(5, 16) & (F.length(_digits(m)) <= 15)
+    return _made(valid, F.concat(country, _pour(rest, permute_digits(digits, key, "phone"))))
 
 
-def _ip(m: Column, key: str) -> tuple[Column, Column]:
+def _ip(m: Column, key: str) -> Column:
     octet = lambda i: F.get(F.split(m, r"\."), F.lit(i)).cast("long")
     valid = (octet(0) < 256) & (octet(1) < 256) & (octet(2) < 256) & (octet(3) < 256)
-    new = permute(((octet(0) * 256 + octet(1)) * 256 + octet(2)) * 256 + octet(3), 1 << 32, key, "ip")
-    bits = lambda n: F.shiftright(new, n).bitwiseAND(F.lit(255)).cast("string")
-    return valid, F.concat_ws(".", bits(24), bits(16), bits(8), bits(0))
+    value = ((octet(0) * 256 + octet(1)) * 256 + octet(2)) * 256 + octet(3)
+    bits = lambda new, n: F.shiftright(new, n).bitwiseAND(F.lit(255)).cast("string")
+    made = lambda new: _made(valid, F.concat_ws(".", *(bits(new, n) for n in (24, 16, 8, 0))))
+    return let(F.when(valid, permute(value, 1 << 32, key, "ip")), made)
 
 
-def _date(m: Column, key: str) -> tuple[Column, Column]:
+def _date(m: Column, key: str) -> Column:
     """ISO, or day and month (if the first is at most 12 and the second above 12, month and day) and year."""
     iso = m.rlike(r"^\d{4}-")
     month_first = F.substring(m, 4, 2).cast("int") > 12
@@ -194,13 +236,18 @@ def _date(m: Column, key: str) -> tuple[Column, Column]:
         .when(month_first, F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 1, 2), F.substring(m, 4, 2)))
         .otherwise(F.concat_ws("-", F.substring(m, 7, 4), F.substring(m, 4, 2), F.substring(m, 1, 2)))
     )
-    day = F.datediff(F.try_to_date(text, "yyyy-MM-dd"), F.lit(FIRST_DAY).cast("date"))
-    valid = F.coalesce(day.between(0, DAYS - 1), F.lit(False))
-    new = F.date_add(F.lit(FIRST_DAY).cast("date"), permute(day.cast("long"), DAYS, key, "date").cast("int"))
-    shown = F.when(iso, F.date_format(new, "yyyy-MM-dd")).otherwise(
-        F.concat(F.date_format(new, "dd"), F.substring(m, 3, 1), F.date_format(new, "MM"), F.substring(m, 6, 1), F.date_format(new, "yyyy"))
-    )
-    return valid, shown
+    first = F.lit(FIRST_DAY).cast("date")
+
+    def made(new: Column) -> Column:
+        shown = F.when(iso, F.date_format(new, "yyyy-MM-dd")).otherwise(
+            F.concat(F.date_format(new, "dd"), F.substring(m, 3, 1), F.date_format(new, "MM"), F.substring(m, 6, 1), F.date_format(new, "yyyy"))
+        )
+        return _made(new.isNotNull(), shown)
+
+    def moved(day: Column) -> Column:
+        return F.when(day.between(0, DAYS - 1), F.date_add(first, permute(day.cast("long"), DAYS, key, "date").cast("int")))
+
+    return let(F.datediff(F.try_to_date(text, "yyyy-MM-dd"), first), lambda day: let(moved(day), made))
 
 
 #: The classes within which characters are permuted.
@@ -211,12 +258,12 @@ def permute_text(text: Column, key: str, kind: str, hexadecimal: bool = False) -
     """Feistel over the two halves of a text: each round shifts one half's characters within their classes by the other half."""
     classes = ("0123456789abcdef", CLASSES[2]) if hexadecimal else CLASSES
 
-    def shifted(half: Column, other: Column, turn: Column) -> Column:
+    def shifted(half: Column, digest: Column) -> Column:
         def char(c: Column, i: Column) -> Column:
+            by = _number(F.sha2(F.concat(digest, i.cast("string")).cast("binary"), 256), 8)
             out = c
             for alphabet in classes:
                 place = F.call_function("instr", F.lit(alphabet), c)
-                by = F.pmod(_hash(key, kind, turn * 1000 + i, other), F.lit(len(alphabet)))
                 moved = F.substring(F.lit(alphabet), (F.pmod(place - 1 + by, F.lit(len(alphabet))) + 1).cast("int"), F.lit(1))
                 out = F.when(place > 0, moved).otherwise(out)
             return F.when(c == "", c).otherwise(out)
@@ -228,10 +275,9 @@ def permute_text(text: Column, key: str, kind: str, hexadecimal: bool = False) -
 
     def step(s: Column, i: Column) -> Column:
         even = F.pmod(i, F.lit(2)) == 0
-        return F.struct(
-            F.when(even, shifted(s["l"], s["r"], i)).otherwise(s["l"]).alias("l"),
-            F.when(even, s["r"]).otherwise(shifted(s["r"], s["l"], i)).alias("r"),
-        )
+        half, other = (F.when(even, x).otherwise(y) for x, y in ((s["l"], s["r"]), (s["r"], s["l"])))
+        moved = let(_mac(key, F.lit(kind), i, other), lambda digest: shifted(half, digest))
+        return let(moved, lambda new: F.struct(F.when(even, new).otherwise(s["l"]).alias("l"), F.when(even, s["r"]).otherwise(new).alias("r")))
 
     rounds = F.array(*(F.lit(i) for i in range(ROUNDS)))
     return F.aggregate(rounds, start, step, lambda s: F.concat(s["l"], s["r"]))
@@ -247,29 +293,35 @@ def _mod97(code: Column) -> Column:
     return F.aggregate(F.split(code, ""), F.lit(0), step)
 
 
-def _iban(m: Column, key: str) -> tuple[Column, Column]:
+def _iban(m: Column, key: str) -> Column:
     code = F.replace(m, F.lit(" "), F.lit(""))
     country, own = F.substring(code, 1, 2), code.substr(F.lit(5), F.length(code))
     valid = F.length(code).between(15, 34) & (_mod97(F.concat(own, F.substring(code, 1, 4))) == 1)
-    new = permute_text(own, key, "iban")
-    check = F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
-    whole = F.concat(country, check, new)
-    start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
-    step = lambda s, c: F.struct(
-        F.concat(s["out"], F.when(c == " ", c).when(c == "", c).otherwise(F.substring(whole, s["at"], F.lit(1)))).alias("out"),
-        (s["at"] + F.when((c == " ") | (c == ""), 0).otherwise(1)).alias("at"),
-    )
-    return valid, F.aggregate(F.split(m, ""), start, step, lambda s: s["out"])
 
+    def spread(whole: Column) -> Column:
+        start = F.struct(F.lit("").alias("out"), F.lit(1).alias("at"))
+        blank = lambda c: (c == " ") | (c == "")
+        step = lambda s, c: F.struct(
+            F.concat(s["out"], F.when(blank(c), c).otherwise(F.substring(whole, s["at"], F.lit(1)))).alias("out"),
+            (s["at"] + F.when(blank(c), 0).otherwise(1)).alias("at"),
+        )
+        return _made(valid, F.aggregate(F.split(m, ""), start, step, lambda s: s["out"]))
 
-def _email(m: Column, key: str) -> tuple[Column, Column]:
+    def checked(new: Column) -> Column:
+        check = F.lpad((98 - _mod97(F.concat(new, country, F.lit("00")))).cast("string"), 2, "0")
+        return let(F.concat(country, check, new), spread)
+
+    return let(F.when(valid, permute_text(own, key, "iban")), checked)
+
+
+def _email(m: Column, key: str) -> Column:
     local = F.substring_index(m, "@", 1)
-    return F.lit(True), F.concat(permute_text(local, key, "email"), m.substr(F.length(local) + 1, F.length(m)))
+    return _made(F.lit(True), F.concat(permute_text(local, key, "email"), m.substr(F.length(local) + 1, F.length(m))))
 
 
-def _secret(m: Column, key: str) -> tuple[Column, Column]:
+def _secret(m: Column, key: str) -> Column:
     hexadecimal = m.rlike("^[0-9a-f]+$")
-    return F.lit(True), F.when(hexadecimal, permute_text(m, key, "hex", True)).otherwise(permute_text(m, key, "secret"))
+    return _made(F.lit(True), F.when(hexadecimal, permute_text(m, key, "hex", True)).otherwise(permute_text(m, key, "secret")))
 
 
 def pseudonym(m: Column, key: str) -> Column:
@@ -285,32 +337,34 @@ def pseudonym(m: Column, key: str) -> Column:
         ("phone", m.startswith("+") | m.startswith("(") | whole(rf"(?:1[ .-])?(?:{_LOCAL})"), _phone),
         ("secret", F.lit(True), _secret),
     )
-    kind, text, n = F.lit(None).cast("string"), m, F.lit(1)
-    for name, shape, make in reversed(forms):
-        valid, new, *many = make(m, key)
-        n = F.when(shape, many[0]).otherwise(n) if many else n
-        kind = F.when(shape, F.when(valid, F.lit(name))).otherwise(kind)
-        text = F.when(shape, F.when(valid, new).otherwise(m)).otherwise(text)
-    return F.struct(kind.alias("kind"), text.alias("text"), n.alias("n"))
+    def shown(name: str) -> Callable[[Column], Column]:
+        return lambda r: F.struct(F.when(r["valid"], F.lit(name)).alias("kind"), F.when(r["valid"], r["text"]).otherwise(m).alias("text"), r["n"].alias("n"))
 
+    found = None
+    for name, shape, make in forms:
+        made = let(make(m, key), shown(name))
+        found = F.when(shape, made) if found is None else found.when(shape, made)
+    return found
 
-def pseudonymise(docs: DataFrame, key: str = "tideweave", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+
+def pseudonymise(docs: DataFrame, key: str, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: doc_id, text with pseudonyms, changed, and n_<kind> for each kind.
 
     Null text stays null with counts of 0. Repeated rows are treated alike; an empty table gives no
     rows; other columns are ignored. The key is a secret of the run: whoever has it can undo the
     pseudonyms, and the same key links values over runs.
     """
+    if not key:
+        raise ValueError("pseudonyms need a key")
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     may = F.col("text").rlike(r"[0-9@]|[\"'][^\"'\s]{8}")
     found = F.when(may, F.regexp_extract_all("text", F.lit(ANY), F.lit(0)))
     rows = rows.withColumn("found", found).withColumn(
         "made", F.when(F.size("found") > 0, F.transform("found", lambda m: pseudonym(m, key)))
     )
-    between = F.split("text", ANY)
-    joined = F.array_join(
-        F.transform(between, lambda part, i: F.concat(part, F.coalesce(F.get(F.col("made.text"), i), F.lit("")))), ""
-    )
+    # One more part than matches; both are walked once.
+    parts = F.zip_with(F.split("text", ANY, -1), F.transform("made", lambda x: x["text"]), lambda part, new: F.concat(part, F.coalesce(new, F.lit(""))))
+    joined = F.array_join(parts, "")
     count = lambda kind: F.aggregate(F.filter("made", lambda x: x["kind"] == kind), F.lit(0), lambda s, x: s + x["n"])
     counts = [F.when(F.col("made").isNull(), 0).otherwise(count(k)).cast("long").alias(f"n_{k}") for k in KINDS]
     made = F.when(F.col("made").isNull(), F.col("text")).otherwise(joined)
