@@ -127,10 +127,10 @@ def starts_of(ordered: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate((ordered[:1] == ordered[:1], ordered[1:] != ordered[:-1])))
 
 
-def order_of(keys: np.ndarray) -> np.ndarray:
-    """The places of keys of 50 bits in their order: sorting numbers that hold both is far faster than sorting places."""
+def order_of(keys: np.ndarray, key_bits: int = GRAM_BITS) -> np.ndarray:
+    """The places of keys in their order, equal ones as they came: sorting numbers that hold both is far faster than sorting places."""
     bits = len(keys).bit_length()
-    spare = np.uint64(max(0, GRAM_BITS + bits - 64))
+    spare = np.uint64(max(0, key_bits + bits - 64))
     both = (keys >> spare) << np.uint64(bits) | np.arange(len(keys), dtype=np.uint64)
     both.sort()
     order = (both & np.uint64((1 << bits) - 1)).astype(np.int64)
@@ -194,7 +194,7 @@ def corpus_counts(blocks: DataFrame, kind: str, keys: int) -> DataFrame:
         counts = [unpack(x) for x in frame["counts"]]
         every, counts = heads << np.uint64(bits) | tails, np.concatenate(counts)
         del heads, tails
-        order = np.argsort(every, kind="stable")
+        order = order_of(every, bits + HEAD)
         every, counts = every[order], counts[order]
         starts = starts_of(every)
         run = np.repeat(np.arange(len(starts)), np.diff(starts, append=len(every)))

@@ -6,7 +6,7 @@ their end. All that may follow a place shares probability 1 at most.
 
 Spelling codes a token bit by bit: its bytes and an end mark, each along the path of a Huffman code.
 For every bit several predictors look up counters by a hash of their context (the last two to four
-bytes of the word, all of its beginning, or the place in it); their log-odds are mixed with weights
+bytes of the word, or all of its beginning); their log-odds are mixed with weights
 chosen by a gate, trained online, and refined by an adaptive table of observed rates.
 
 * blocks: each task numbers the distinct tokens of blocks of text of bounded size.
@@ -41,8 +41,8 @@ BLOCK_CHARS = 16 << 20
 #: The end of a text, and the mark after a word; a space never occurs within one.
 END, MARK = 256, 32
 SYMBOLS = 257
-#: Bits of the counters of each predictor: orders 2 to 4, the word so far, and the place in it.
-TABLE_BITS = (18, 20, 21, 22, 14)
+#: Bits of the counters of each predictor: orders 2 to 4, and the word so far.
+TABLE_BITS = (18, 20, 21, 22)
 OFFSETS = np.concatenate(([0], np.cumsum([1 << b for b in TABLE_BITS])))
 K = len(TABLE_BITS)
 #: Counts are kept in a byte: exact to 15, then in steps of 13 %.
@@ -165,7 +165,6 @@ def contexts(data: np.ndarray, place: np.ndarray) -> list[np.ndarray]:
         run = np.concatenate(([np.uint64(0)], np.cumsum(mixed)))[:-1]
         first = np.arange(len(data)) - place
         out.append(_mix(run - run[first] + place.astype(np.uint64)))
-        out.append(_mix(np.minimum(place, 31).astype(np.uint64) + np.uint64(99)))
     return out
 
 
@@ -434,7 +433,7 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held_fold
     base_score and score are log10 probabilities of the text by unigrams and by the model.
     score_unseen takes each place of a training text as if it had not been counted, so that it compares
     with held-out texts, whose two scores are equal; of a training text that score tells how well the
-    rest of the corpus predicts it. bits_per_byte is by score, over the bytes that are coded: those of
+    rest of the corpus predicts it (a token that it alone taught costs its length in the Huffman code). bits_per_byte is by score, over the bytes that are coded: those of
     the words, one for white space after each, and one for the end. Repeated rows are documents of their
     own; an empty table gives no rows; other columns are ignored.
     """
@@ -475,8 +474,9 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held_fold
         x = sum((float((10 ** log10_probabilities(words, code, shared.value, mixer)).sum()) for words, _ in _token_batches(batches)), 0.0)
         yield pa.RecordBatch.from_arrays([pa.array([x])], ["x"])
 
-    # Only unknown tokens are spelled, so they share what spelling leaves to them.
-    spent = known.mapInArrow(mass, "x double").agg(F.coalesce(F.sum("x"), F.lit(0.0))).first()[0]
+    # Only unknown tokens are spelled, so they share what spelling leaves to them; what tokens taught once would
+    # have is left out, being small and most of the work.
+    spent = known.where("n > 1").mapInArrow(mass, "x double").agg(F.coalesce(F.sum("x"), F.lit(0.0))).first()[0]
     left_over = max(1 - spent - (end_spelled if ends else 0), 1e-9)
 
     def gather(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
@@ -491,17 +491,25 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held_fold
         c2, c3 = np.split(grams.at_places(keys, grams.merged(right[right["kind"] == 2]) >> 1), 2)
         del keys
 
-        def spelled(at: np.ndarray, less: bool) -> np.ndarray:
+        def spelled(at: np.ndarray) -> np.ndarray:
             """Spelling's probability of the tokens at some places."""
             which, place = np.unique(block.numbers[at], return_inverse=True)
             out = np.zeros(len(which), np.float32)
             for i in range(0, len(which), WORDS_AT_ONCE):
                 tokens = [None if t == block.end else names[t] for t in which[i : i + WORDS_AT_ONCE]]
-                out[i : i + WORDS_AT_ONCE] = np.minimum(10 ** log10_probabilities(tokens, code, shared.value, mixer, less) / left_over, 1)
+                out[i : i + WORDS_AT_ONCE] = np.minimum(10 ** log10_probabilities(tokens, code, shared.value, mixer) / left_over, 1)
             return out[place]
 
+        def plain(at: np.ndarray) -> np.ndarray:
+            """The probability of the tokens at some places by the Huffman code alone."""
+            which, place = np.unique(block.numbers[at], return_inverse=True)
+            if not len(which):
+                return np.zeros(0, np.float32)
+            data, owner, _ = symbols([None if t == block.end else names[t] for t in which])
+            return (0.5 ** np.bincount(owner, code.lengths[data])).astype(np.float32)[place]
+
         new, once = np.flatnonzero(c1 == 0), np.flatnonzero(block.train & (c1 == 1))
-        columns = [(x, at, spelled(at, less)) for x, at, less in (("new", new, False), ("once", once, True))]
+        columns = [(new, spelled(new)), (once, plain(once))]
         out = []
         limits = np.append(block.starts, len(c1))
         lists = [list(row[c]) for c in ("doc_ids", "held", "bytes", "sizes")]
@@ -509,7 +517,7 @@ def score(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", held_fold
             j = min(i + DOCS_AT_ONCE, len(block.starts))
             a, b = limits[i], limits[j]
             ids = [None if k is None or k != k else int(k) for k in lists[0][i:j]]
-            spell = [p[np.searchsorted(at, a) : np.searchsorted(at, b)].tobytes() for _, at, p in columns]
+            spell = [p[np.searchsorted(at, a) : np.searchsorted(at, b)].tobytes() for at, p in columns]
             out.append((ids, *(x[i:j] for x in lists[1:]), *(grams.pack(x[a:b]) for x in (c1, c2, c3)), *spell))
         return pd.DataFrame(out, columns=["doc_ids", "held", "bytes", "sizes", "c1", "c2", "c3", "new", "once"])
 
