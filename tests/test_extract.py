@@ -163,3 +163,17 @@ def test_truncated_and_headless_files(spark, tmp_path):
     headless = dumps.raw_rows(spark, dump(tmp_path / "b", GOOD, head="<mediawiki>"))
     assert dumps.namespaces(headless).count() == 0
     assert dumps.misnamed(dumps.raw_rows(spark, dump(tmp_path / "b", GOOD, name="other.xml.gz"))).count() > 0
+
+
+@pytest.mark.parametrize("zipped", [True, False])
+@pytest.mark.parametrize(("tail", "whole", "cut"), [("</logitem>", 2, 0), ("</logitem>\n", 2, 0), ("</logitem>\n</mediawiki>\n", 2, 0), ("</logitem", 1, 1), ("</logi", 1, 1), ("", 1, 1), ("</logitem >", 2, 0)])
+def test_files_without_a_tail(spark, tmp_path, zipped, tail, whole, cut):
+    """A record is whole if its end tag is, whatever follows."""
+    body = item("1", T(1), "thanks", "thank", "Benutzer:Bea") + item("2", T(2), "thanks", "thank", "Benutzer:Bea")
+    text = (HEAD + body).rstrip().removesuffix("</logitem>") + tail
+    path = tmp_path / ("dewiki-20260601-pages-logging.xml" + (".gz" if zipped else ""))
+    with (gzip.open if zipped else open)(path, "wt", encoding="utf-8") as f:
+        f.write(text)
+    raw = dumps.raw_rows(spark, str(path))
+    assert [r.logid for r in dumps.parsed(dumps.framed(raw)).where("NOT malformed").orderBy("seq").collect()] == ["1", "2"][:whole]
+    assert dumps.truncated(raw).count() == cut and dumps.needle_counts(raw).first().thanks_needles == 2

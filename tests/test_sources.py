@@ -27,6 +27,8 @@ def test_manifest(spark, tmp_path):
         ("(1,1,1,1,1),(1,2,2,2,2)", (3, 3, 3, 3), "row id repeated"),
         ("(1,1,1,1)", (None, None, None, None), "field count differs from the table's"),
         ("(1,'a,(b''c',1,1,1)", (None, 1, 1, 1), "not an integer"),
+        ("(1,10,10,10,10),junk,2,5", (None, None, None, None), "not a list of tuples"),
+        ("(NULL,10,10,10,10)", (10, 10, 10, 10), "no row id"),
     ],
 )
 def test_site_stats(spark, tmp_path, rows, want, error):
@@ -47,6 +49,16 @@ def test_upsert(spark):
     assert [(r.site, r.fault) for r in site_tables.dimension_faults(found, wanted).collect()] == [("fr", "incomplete")]
 
 
+def test_statistics_with_errors_do_not_reach_the_dimension(spark):
+    base = spark.createDataFrame([("de", "German", "5")], "site string, label string, users string")
+    stats = spark.createDataFrame([("dewiki", 1, 2, 3, 4, "no row id")], "dbname string, contributions long, pages long, users long, active_users long, error string")
+    labels = spark.createDataFrame([], "site string, actual_site_code string, language_label string")
+    wanted = spark.createDataFrame([("de",)], "site string")
+    found = site_tables.upsert(base, stats, labels, wanted)
+    assert [r.users for r in found.collect()] == ["5"]
+    assert [(r.site, r.fault) for r in site_tables.dimension_faults(found, wanted).collect()] == [("de", "incomplete")]
+
+
 def test_package_and_read_back(spark, tmp_path):
     (tmp_path / "e.csv").write_text("site,logid\nde,1\n")
     header = ",".join(audit.AUDIT)

@@ -30,6 +30,16 @@ def ranked(values: DataFrame, partition: list[str], order: str, name: str, prefi
     return rows.select(*partition, order, (F.col("_in") + F.col("_before")).cast("long").alias(name))
 
 
+def places(rows: DataFrame, order: list[Column], bucket: Column, name: str = "place") -> DataFrame:
+    """``rows`` with their 1-based place in an order. ``bucket`` must not fall along it: each is a window of its own."""
+    rows = rows.withColumn("_bucket", bucket)
+    sizes = rows.groupBy("_bucket").agg(F.count("*").alias("_n"))
+    before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)  # one row per bucket
+    sizes = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    rows = rows.withColumn("_in", F.row_number().over(W.partitionBy("_bucket").orderBy(*order))).join(sizes, "_bucket")
+    return rows.withColumn(name, (F.col("_before") + F.col("_in")).cast("long")).drop("_bucket", "_before", "_in")
+
+
 def synthetic_ids(resolved: DataFrame) -> DataFrame:
     """site, target_username, synthetic_id: -1, -2 and so on for the site's unresolved names in byte order."""
     names = ranked(resolved.where("target_account IS NULL"), ["site"], "target_username", "_rank")

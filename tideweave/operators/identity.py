@@ -122,6 +122,10 @@ def first_blocks(blocks: DataFrame) -> DataFrame:
     return blocks.where("status = 'valid'").groupBy("site", F.col("contributor_id").alias("account_id")).agg(F.min("timestamp").alias("first_block"))
 
 
+#: Log ids and account ids that share all digits but so many are a bucket.
+BUCKET_DIGITS = 5
+
+
 def longest_in_order(values: list) -> list[bool]:
     """Which values make the earliest longest non-decreasing subsequence."""
     # From the right: the length of the longest such subsequence that starts at each value.
@@ -143,18 +147,29 @@ def longest_in_order(values: list) -> list[bool]:
     return keep
 
 
-def order_segments(rows: DataFrame, partition: list[str], order: list, value: str) -> DataFrame:
-    """``rows`` with pivot and segment.
+def order_segments(rows: DataFrame, partition: list[str], order: str, value: str) -> DataFrame:
+    """``rows`` with pivot and segment, in the order of a canonical decimal.
 
     A pivot is no less than all before it and no more than all after it, so it belongs to every
-    longest non-decreasing subsequence; between pivots the problem falls into segments.
+    longest non-decreasing subsequence; between pivots the problem falls into segments. A partition
+    is split into buckets along the order, which know of each other by a row each.
     """
-    ordered = W.partitionBy(*partition).orderBy(*order)
-    before = F.max(value).over(ordered.rowsBetween(W.unboundedPreceding, -1))
-    after = F.min(value).over(ordered.rowsBetween(1, W.unboundedFollowing))
+    width = F.length(order)
+    bucket = F.struct(width, F.substring(F.col(order), F.lit(1), F.greatest(F.lit(1), width - BUCKET_DIGITS)))
+    rows, key = rows.withColumn("_bucket", bucket), [*partition, "_bucket"]
+    inner, outer = W.partitionBy(*key).orderBy(*id_order(F.col(order))), W.partitionBy(*partition).orderBy("_bucket")
+    back, ahead = (W.unboundedPreceding, -1), (1, W.unboundedFollowing)
+    ends = rows.groupBy(*key).agg(F.max(value).alias("_top"), F.min(value).alias("_low"))
+    ends = ends.select(*key, F.max("_top").over(outer.rowsBetween(*back)).alias("_above"), F.min("_low").over(outer.rowsBetween(*ahead)).alias("_below"))
+    before = F.greatest(F.max(value).over(inner.rowsBetween(*back)), "_above")
+    after = F.least(F.min(value).over(inner.rowsBetween(*ahead)), "_below")
     fits = F.coalesce(F.col(value) >= before, F.lit(True)) & F.coalesce(F.col(value) <= after, F.lit(True))
-    rows = rows.withColumn("pivot", fits)
-    return rows.withColumn("segment", F.sum(F.col("pivot").cast("int")).over(ordered.rowsBetween(W.unboundedPreceding, 0)))
+    rows = rows.join(ends, key).withColumn("pivot", fits).drop("_above", "_below")
+    pivot = F.col("pivot").cast("int")
+    sums = rows.groupBy(*key).agg(F.sum(pivot).alias("_n"))
+    sums = sums.select(*key, F.coalesce(F.sum("_n").over(outer.rowsBetween(*back)), F.lit(0)).alias("_base"))
+    rows = rows.withColumn("_in", F.sum(pivot).over(inner.rowsBetween(W.unboundedPreceding, 0))).join(sums, key)
+    return rows.withColumn("segment", F.col("_base") + F.col("_in")).drop("_bucket", "_base", "_in")
 
 
 def keep_in_order(rows: DataFrame, partition: list[str], order: str, value: str) -> DataFrame:
@@ -162,7 +177,7 @@ def keep_in_order(rows: DataFrame, partition: list[str], order: str, value: str)
 
     Only rows that aren't pivots go to Python, two columns of them, by segment.
     """
-    marked = order_segments(rows, partition, id_order(F.col(order)), value)
+    marked = order_segments(rows, partition, order, value)
     loose = marked.where("NOT pivot").select(*partition, "segment", order, value)
 
     def keep(frame: pd.DataFrame) -> pd.DataFrame:

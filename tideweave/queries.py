@@ -6,14 +6,15 @@ is a block, a purchase a rename. ``site`` splits the log in three; users 100 apa
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideweave.functions import scalars
+from tideweave import dump_queries  # noqa: F401  registers its queries
 from tideweave.operators import audit, classify, graph, identity, intervals, quality, resolve, summary
+from tideweave.registry import QUERIES, SQL, Query, query
 from tideweave.sources import dumps, site_tables
+from tideweave.sources.staging import staged
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -135,19 +136,6 @@ CLASS = """CASE WHEN target_resolution = 'interval_and_current_username_same' TH
         THEN 'received_synthetic_' || target_resolution
     ELSE 'received_synthetic_other_unresolved' END"""
 
-Query = Callable[[SparkSession, str], DataFrame]
-_QUERIES: dict[str, Query] = {}
-_SQL: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    def add(f: Query) -> Query:
-        _QUERIES[name] = f
-        if sql:
-            _SQL[name] = sql
-        return f
-
-    return add
 
 
 @query("resolve_targets", RESOLVED + "SELECT * FROM all_resolved")
@@ -372,11 +360,13 @@ def codebook(spark, sf_dir):
 )
 def audit_union(spark, sf_dir):
     """Nodes and audited events in one table of text."""
-    edges, accounts, facts = _published(spark, sf_dir), _accounts(spark, sf_dir), _facts(spark, sf_dir)
-    current = identity.current_names(facts)
+    # What several parts read is written once, as extract does.
+    facts, accounts, resolved = _facts(spark, sf_dir), staged(_accounts(spark, sf_dir)), staged(_resolved(spark, sf_dir))
+    synthetic = staged(graph.synthetic_ids(resolved))
+    edges, current = staged(graph.published_edges(resolved, synthetic)), identity.current_names(facts)
     events = audit.audit_events(edges, current, accounts, intervals.interval_evidence(_held(spark, sf_dir)))
     blocks = identity.first_blocks(facts.where("event_type = 'error'").select("site", F.col("account_id").alias("contributor_id"), "timestamp", F.lit("valid").alias("status")))
-    nodes = graph.nodes(edges, identity.account_names(facts), accounts, blocks, graph.synthetic_ids(_resolved(spark, sf_dir)))
+    nodes = graph.nodes(edges, identity.account_names(facts), accounts, blocks, synthetic)
     kept = ["record_type", "site", "id", "sent", "received", "logid", "target", "current_name_account_id", "current_name_creation_timestamp", "resolved_account_creation_timestamp", "interval_evidence", "requires_historical_review"]
     return audit.audit(nodes, events).select(*kept)
 
@@ -607,7 +597,7 @@ def timestamps_valid(spark, sf_dir):
 def order_pivots(spark, sf_dir):
     """Rows that belong to every longest non-decreasing subsequence."""
     rows = _log(spark, sf_dir).select("site", "account_id", "logid", "amount")
-    return identity.order_segments(rows, ["site", "account_id"], scalars.id_order(F.col("logid")), "amount").drop("amount", "segment")
+    return identity.order_segments(rows, ["site", "account_id"], "logid", "amount").drop("amount", "segment")
 
 
 @query(
@@ -660,15 +650,15 @@ def code_labels(spark, sf_dir):
 )
 def numeric_text_order(spark, sf_dir):
     """Digit strings in numeric order whatever their width."""
-    from pyspark.sql import Window as W
-
     key = F.concat((F.col("s_suppkey") * 7919 % 1000).cast("string"), F.col("s_suppkey").cast("string"))
-    return _table(spark, sf_dir, "supplier").select("s_name", F.row_number().over(W.orderBy(*scalars.numeric_text_order(key))).cast("long").alias("place"))
+    order = scalars.numeric_text_order(key)
+    bucket = F.struct(order[0].alias("kind"), order[1].alias("width"), F.substring(order[2], 1, 2).alias("start"))
+    return graph.places(_table(spark, sf_dir, "supplier"), order, bucket).select("s_name", "place")
 
 
 def queries() -> dict[str, Query]:
-    return dict(_QUERIES)
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_SQL)
+    return dict(SQL)

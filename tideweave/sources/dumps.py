@@ -27,8 +27,12 @@ XML = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt", "ignoreSur
 
 
 def raw_rows(spark: SparkSession, paths: str | list[str]) -> DataFrame:
-    """site, dump_date, seq, value: the text of each file cut after each record. Files of other names have null site."""
-    text = spark.read.text(paths, lineSep=CLOSE)
+    """site, dump_date, seq, value: the text of each file cut after each record. Files of other names have null site.
+
+    The end tag without its last character separates rows, so a file that stops right after a record
+    still has a last row, which is no record, and one that stops within the tag does not.
+    """
+    text = spark.read.text(paths, lineSep=CLOSE[:-1]).withColumn("value", F.regexp_replace("value", r"\A\s*>", ""))
     name = F.col("_metadata.file_name")
     part = lambda i: none_if_empty(F.regexp_extract(name, FILE_NAME, i))
     return text.select(part(1).alias("site"), part(2).alias("dump_date"), F.monotonically_increasing_id().alias("seq"), "value")

@@ -19,8 +19,13 @@ URL = r"/([a-z0-9_]{2,20}wiki)/(20[0-9]{6})/[a-z0-9_]+-20[0-9]{6}-pages-logging\
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
     """url, dbname, site, dump_date of each line; comments, blank lines and carriage returns are dropped."""
+    return manifest_of(spark.read.text(path))
+
+
+def manifest_of(lines: DataFrame) -> DataFrame:
+    """The manifest in lines of text (value)."""
     line = trim_ascii(F.regexp_replace("value", r"#.*|\r", ""))
-    rows = spark.read.text(path).select(line.alias("url")).where("url <> ''").distinct()
+    rows = lines.select(line.alias("url")).where("url <> ''").distinct()
     part = lambda i: none_if_empty(F.regexp_extract("url", URL, i))
     return rows.select("url", part(1).alias("dbname"), site_of_dbname(part(1)).alias("site"), part(2).alias("dump_date"))
 
@@ -44,17 +49,24 @@ def split_tuple(text: str) -> list[str]:
 
 
 def sql_tuples(spark: SparkSession, paths: str | list[str], table: str = "site_stats") -> DataFrame:
+    """The fields of SQL dumps, see tuples_of; a dump of statistics is a few rows, so a file is a row."""
+    return tuples_of(spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value"), table)
+
+
+def tuples_of(text: DataFrame, table: str = "site_stats") -> DataFrame:
     """file, column, value, row: each field of the INSERT statements of one table, by column name.
 
-    Column places come from the file's own CREATE TABLE. ``error`` is set for statements whose field
-    count differs from it. Keywords are matched in any case.
+    ``text``: file, value. Column places come from the file's own CREATE TABLE. Keywords are matched
+    in any case. ``error`` is set, and the statement's rows are left out, where anything but tuples
+    stands in it; it is set for rows whose field count differs from the table's, fields that are no
+    integer or null, and row ids that are null.
     """
-    text = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_name").alias("file"), "value")
 
     def parse(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         create = re.compile(rf"create\s+table\s+`?{table}`?\s*\((.*?)\)\s*(?:engine|;)", re.I | re.S)
         insert = re.compile(rf"insert\s+into\s+`?{table}`?\s+values\s*(.*?);\s*(?:\n|$)", re.I | re.S)
-        row_of = re.compile(r"\(((?:'(?:\\.|''|[^'\\])*'|[^()'])*)\)")
+        one = r"\(((?:'(?:\\.|''|[^'\\])*'|[^()'])*)\)"
+        row_of, all_rows = re.compile(one), re.compile(rf"\s*{one}(?:\s*,\s*{one})*\s*")
         for frame in frames:
             out = []
             for file, value in zip(frame["file"], frame["value"], strict=True):
@@ -62,6 +74,10 @@ def sql_tuples(spark: SparkSession, paths: str | list[str], table: str = "site_s
                 columns = re.findall(r"^\s*`(\w+)`", found[1], re.M) if found else []
                 n = 0
                 for statement in insert.finditer(value):
+                    if not all_rows.fullmatch(statement[1]):
+                        n += 1
+                        out.append((file, n, None, None, "not a list of tuples"))
+                        continue
                     for row in row_of.finditer(statement[1]):
                         fields = split_tuple(row[1])
                         n += 1
@@ -69,8 +85,9 @@ def sql_tuples(spark: SparkSession, paths: str | list[str], table: str = "site_s
                             out.append((file, n, None, None, "field count differs from the table's"))
                             continue
                         for c, v in zip(columns, fields, strict=True):
-                            bad = not re.fullmatch(r"\d+|null", v, re.I)
-                            out.append((file, n, c, None if bad or v.upper() == "NULL" else v, "not an integer" if bad else None))
+                            bad, null = not re.fullmatch(r"\d+|null", v, re.I), v.upper() == "NULL"
+                            error = "not an integer" if bad else "no row id" if null and c == "ss_row_id" else None
+                            out.append((file, n, c, None if bad or null else v, error))
                 if not columns or not n:
                     out.append((file, 0, None, None, "no table or no row"))
             yield pd.DataFrame(out, columns=["file", "row", "column", "value", "error"])
@@ -105,11 +122,13 @@ def first_filled(df: DataFrame, names: tuple[str, ...]) -> Column:
 def upsert(base: DataFrame, stats: DataFrame, labels: DataFrame, wanted: DataFrame) -> DataFrame:
     """The site dimension: base rows with fresh statistics, and rows for wanted sites that base lacks.
 
-    base: any columns, its key under one of SITE_KEYS; extra columns stay. labels (site,
+    base: any columns, its key under one of SITE_KEYS; extra columns stay. Statistics with an error count
+    as missing. labels (site,
     actual_site_code, language_label) is the fallback for what base does not say. wanted: site.
     """
     keyed = base.withColumn("_site", first_filled(base, SITE_KEYS)).withColumn("_label", first_filled(base, LABEL_KEYS))
-    fresh = stats.select(site_of_dbname(F.col("dbname")).alias("_site"), *(F.col(c).cast("decimal(38,0)").cast("string").alias(f"_{c}") for c in STATS.values()))
+    sound = stats.where("error IS NULL") if "error" in stats.columns else stats
+    fresh = sound.select(site_of_dbname(F.col("dbname")).alias("_site"), *(F.col(c).cast("decimal(38,0)").cast("string").alias(f"_{c}") for c in STATS.values()))
     named = labels.select(F.col("site").alias("_site"), F.col("actual_site_code").alias("_code"), F.col("language_label").alias("_fallback"))
     rows = keyed.join(wanted.select(F.col("site").alias("_site")), "_site", "full_outer").join(fresh, "_site", "left").join(F.broadcast(named), "_site", "left")
     old = lambda c: F.col(c).cast("string") if c in base.columns else F.lit(None).cast("string")
