@@ -31,7 +31,7 @@ SHARE, MOST = 1.5, 2.0
 BLOCK = 128
 SHARD_SLOTS = 1 << 13
 #: Rows of one source and bucket, which one task sums.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 4_000
 #: Slots of one source that are dealt at once.
 AT_ONCE = 1 << 16
 #: Sources are ranked in buckets of equal first bytes.
