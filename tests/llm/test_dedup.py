@@ -72,6 +72,19 @@ def test_drop_copies(odd, empty):
     assert exact_dedup.drop_copies(empty).count() == 0
 
 
+def test_drop_copies_keeps_whole_rows(spark, rng):
+    texts = ["A b", "a B", "c", None, "", *(sentence(rng, 4) for _ in range(60))]
+    docs = [(rng.choice([None, *range(90)]), rng.choice(texts)) for _ in range(300)]
+    df = spark.createDataFrame([(*d, f"h{d[0]}", 1) for d in docs], "doc_id long, text string, hit string, row int").repartition(7)
+    want = {}
+    for key, text in docs:
+        norm = (text or "").translate(LOWER)
+        want[norm] = max(want.get(norm, -1), -1 if key is None else key)
+    found = exact_dedup.drop_copies(df).collect()
+    assert sorted((r.doc_id if r.doc_id is not None else -1, (r.text or "").translate(LOWER)) for r in found) == sorted((k, t) for t, k in want.items())
+    assert all((r.doc_id, r.text, r.hit, r.row) in {(*d, f"h{d[0]}", 1) for d in docs} for r in found)
+
+
 def test_components(spark, rng):
     edges = [(rng.randint(0, 400), rng.randint(0, 400)) for _ in range(300)] + [(1000 + i, 1001 + i) for i in range(60)]
     root = {}

@@ -1,16 +1,18 @@
 """Exact deduplication through a log-structured merge index, with DataFrame functions only.
 
-* memtable: each task combines equal ``(digest, identifier)`` entries and flushes them as a run
-  sorted by digest. A run is a Parquet file with a Bloom filter on the digest (level 0).
-* compaction: runs merge into disjoint sorted runs that keep, per digest, the smallest identifier
-  (level 1). The identifier ranks rows by preference: the complement of doc_id, as the largest is to stay.
-  ``lookup`` finds digests in the runs, whose filters and order let most of them be passed over.
-* probing: a bitmap of the digests with more than one entry, of 16 bits for each and at most 128 MB,
-  lets only hits through. Hits are grouped by their bytes, so equal digests of different texts stay
-  apart. A full bitmap lets more rows through, which costs time and changes nothing.
+* memtable: each task sorts its entries ``(digest, identifier)`` and flushes them as runs, without a
+  shuffle. A run is a Parquet file sorted by digest, with a Bloom filter on it (level 0).
+* compaction: runs merge into sorted runs that keep, per digest, the smallest identifier (level 1).
+  The identifier ranks rows by preference: the complement of doc_id, as the largest is to stay.
+  The digests that it finds more than once make up the hit filter: a bitmap of 16 bits for each and
+  at most 128 MB. ``lookup`` finds digests in the runs, whose filters let most of them be passed over.
+* probing: entries that the filter rules out are alone with their text; they are not shuffled again.
+  The others are hits, whose texts are grouped by their bytes, so equal digests of different texts
+  stay apart. A full bitmap lets more entries through, which costs time and changes nothing.
 
 A group of copies collapses in the map-side part of each aggregation, so a group that holds a third
-of all rows costs one row per task.
+of all rows costs one row per task; only the join of its ids to its one kept id spreads over tasks
+by Spark's splitting of skewed joins.
 """
 
 from __future__ import annotations
@@ -45,13 +47,13 @@ def _flush(entries: DataFrame, name: str) -> DataFrame:
 
 
 def memtables(rows: DataFrame) -> DataFrame:
-    """Level 0 of rows (digest, ident): one entry per digest and identifier, with its row count."""
-    return _flush(rows.groupBy("digest", "ident").agg(F.count("*").alias("copies")), "runs0")
+    """Level 0 of rows (digest, ident): one entry per row, in sorted runs of the task that read it."""
+    return _flush(rows.select("digest", "ident"), "runs0")
 
 
 def compact(runs: DataFrame) -> DataFrame:
     """Level 1: per digest the smallest identifier (nulls last) and the number of rows."""
-    merged = runs.groupBy("digest").agg(F.min("ident").alias("ident"), F.sum("copies").alias("copies"))
+    merged = runs.groupBy("digest").agg(F.min("ident").alias("ident"), F.count("*").alias("copies"))
     return _flush(merged, "runs1")
 
 
@@ -100,75 +102,93 @@ def with_hit(rows: DataFrame, filter: HitFilter) -> DataFrame:
     )
 
 
-def exact_groups(
-    docs: DataFrame,
-    text: str = "text",
-    doc_id: str = "doc_id",
-    normalise: Callable[[Column], Column] = ascii_lower,
-    digest: Callable[[Column], Column] = sha256_hex,
-) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, digest.
+@dataclass
+class Probed:
+    """What the index tells of a table's rows.
 
-    Null text equals empty text. The largest id of equal texts stays; null ids come last. Of rows
-    that repeat id and text, one is kept. An empty table gives no rows. Other columns are ignored.
+    ``alone`` (doc_id, digest) has the rows that the filter rules out. ``hits`` (doc_id, keep_id,
+    group_size, digest, copies) has one row per id and text of all others, with its number of rows.
     """
+
+    alone: DataFrame
+    hits: DataFrame
+    filter: HitFilter
+
+
+def probe(docs: DataFrame, text: str, doc_id: str, normalise: Callable[[Column], Column], digest: Callable[[Column], Column]) -> Probed:
+    """Build the index over ``docs``, probe it with every row, and verify hits by their bytes."""
     norm = normalise(F.col(text))
     rows = docs.select(F.col(doc_id).alias("doc_id"), norm.alias("norm")).withColumn("digest", digest(F.col("norm")))
-    level0 = memtables(rows.select("digest", F.bitwise_not(F.col("doc_id")).alias("ident")))
-    hits = hit_filter(compact(level0))
+    ident = F.bitwise_not(F.col("doc_id"))
+    runs = memtables(rows.select("digest", ident.alias("ident")))
+    filter = hit_filter(compact(runs))
+    entries = with_hit(runs, filter)
+    alone = entries.where("NOT hit").select(F.bitwise_not("ident").alias("doc_id"), "digest")
     groups = (
-        with_hit(rows, hits)
+        with_hit(rows, filter)
         .where("hit")
         .groupBy("digest", "norm")
-        .agg(F.min(F.bitwise_not(F.col("doc_id"))).alias("first"), F.count("*").alias("size"))
-        .select("digest", "first", "size", F.xxhash64("norm").alias("bytes"), F.length("norm").alias("chars"))
+        .agg(F.min(ident).alias("first"), F.count("*").alias("size"))
+        .select("digest", "first", "size")
     )
-    groups = stored(groups, "groups")
-    verified = groups.groupBy("digest").agg(
+    verified = stored(groups, "groups").groupBy("digest").agg(
         F.count("*").alias("texts"), F.min("first").alias("first"), F.sum("size").alias("size")
     )
-    unmixed = verified.where("texts = 1")
-    mixed = verified.where("texts > 1").select("digest")
-    entries = level0
-    if not mixed.isEmpty():
-        entries = level0.join(mixed, "digest", "left_anti")
-    found = entries.join(unmixed, "digest", "left").select(
-        F.bitwise_not("ident").alias("doc_id"),
-        F.bitwise_not(F.when(F.col("texts").isNull(), F.col("ident")).otherwise(F.col("first"))).alias("keep_id"),
-        F.coalesce("size", "copies").alias("group_size"),
-        "digest",
-        "copies",
+    hits = (
+        entries.where("hit")
+        .groupBy("digest", "ident")
+        .agg(F.count("*").alias("copies"))
+        .join(verified.where("texts = 1"), "digest")
+        .select(F.bitwise_not("ident").alias("doc_id"), F.bitwise_not("first").alias("keep_id"), F.col("size").alias("group_size"), "digest", "copies")
     )
+    mixed = verified.where("texts > 1").select("digest")
     if not mixed.isEmpty():
         # Different texts with one digest: group these rows by the texts themselves.
         own = rows.join(mixed, "digest", "left_semi").groupBy("digest", "norm", "doc_id").agg(F.count("*").alias("copies"))
         sums = own.groupBy("digest", "norm").agg(F.max("doc_id").alias("keep_id"), F.sum("copies").alias("group_size"))
-        found = found.unionByName(own.join(sums, ["digest", "norm"]).select(*found.columns))
-    return found.select("*", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int"))).alias("copy")).select(
-        "doc_id",
-        "keep_id",
-        "group_size",
-        (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
-        "digest",
+        hits = hits.unionByName(own.join(sums, ["digest", "norm"]).select(*hits.columns))
+    return Probed(alone, hits, filter)
+
+
+def exact_groups(
+    docs: DataFrame,
+    text: str = "text",
+    doc_id: str = "doc_id",
+    normalise: Callable[[Column], Column] = ascii_lower,
+    digest: Callable[[Column], Column] = sha256_hex,
+) -> DataFrame:
+    """One row per row of ``docs``: doc_id, keep_id, group_size, kept, digest.
+
+    Null text equals empty text. The largest id of equal texts stays; null ids come last. Of rows
+    that repeat id and text, one is kept. An empty table gives no rows. Other columns are ignored.
+    """
+    found = probe(docs, text, doc_id, normalise, digest)
+    one = F.lit(1).cast("long")
+    alone = found.alone.select("doc_id", F.col("doc_id").alias("keep_id"), one.alias("group_size"), F.lit(True).alias("kept"), "digest")
+    copy = F.explode(F.sequence(one, F.col("copies"))).alias("copy")
+    hits = found.hits.select("*", copy).select(
+        "doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"), "digest"
     )
+    return alone.unionByName(hits)
 
 
 def drop_copies(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns; see exact_groups for the rule."""
-    columns = docs.columns
-    kept = exact_groups(docs, text, doc_id).where("kept").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"))
-    repeated = exact_groups_repeated(docs, text, doc_id)
-    rows = docs.withColumn("_digest", sha256_hex(ascii_lower(docs[text])))
-    on = rows[doc_id].eqNullSafe(kept["_id"]) & (rows["_digest"] == kept["_digest"])
-    stay = rows.join(kept, on, "left_semi")
-    if repeated.isEmpty():
-        return stay.select(*columns)
-    once = stay.join(repeated, stay[doc_id].eqNullSafe(repeated["_id"]), "left_anti")
-    more = stay.join(repeated, stay[doc_id].eqNullSafe(repeated["_id"]), "left_semi").dropDuplicates([doc_id, "_digest"])
-    return once.unionByName(more).select(*columns)
-
-
-def exact_groups_repeated(docs: DataFrame, text: str, doc_id: str) -> DataFrame:
-    """Ids that more than one row carries."""
-    ids = docs.groupBy(F.col(doc_id).alias("_id")).agg(F.count("*").alias("_n"))
-    return ids.where("_n > 1").select("_id")
+    """The rows of ``docs`` that stay, with all their columns; see exact_groups for the rule.
+
+    Rows that the filter rules out stay where they are; only hits are shuffled.
+    """
+    found = probe(docs, text, doc_id, ascii_lower, sha256_hex)
+    stay = found.hits.where("doc_id <=> keep_id").select(F.col("doc_id").alias("_id"), F.col("digest").alias("_digest"), "copies")
+    stay = stored(stay, "stay")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = with_hit(docs.select(row, F.col(doc_id).alias("id"), sha256_hex(ascii_lower(F.col(text))).alias("digest")), found.filter)
+    alone, hits = rows.where("NOT hit"), rows.where("hit")
+
+    def among(kept: DataFrame) -> DataFrame:
+        return hits.join(kept, hits["id"].eqNullSafe(kept["_id"]) & (hits["digest"] == kept["_digest"]), "left_semi")
+
+    repeated = stay.where("copies > 1")
+    out = alone.select("row").union(among(stay.where("copies = 1")).select("row"))
+    if not repeated.isEmpty():
+        out = out.union(among(repeated).dropDuplicates(["id", "digest"]).select("row"))
+    return out.select("row.*")
