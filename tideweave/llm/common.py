@@ -64,3 +64,19 @@ def fold_of(doc_id: Column) -> Column:
 def parts_for(rows: int, per_part: int) -> int:
     """So many partitions that each holds about ``per_part`` rows."""
     return max(1, -(-rows // per_part))
+
+
+#: A key of at least one in so many rows is heavy; there are no more such keys than this.
+HEAVY = 1 << 10
+
+
+def join_by_size(rows: DataFrame, groups: DataFrame, key: str, size: str) -> DataFrame:
+    """Inner join of ``rows`` with ``groups``, which has one row a key; ``size`` counts its rows in ``rows``, or bounds their share.
+
+    Heavy keys, 1,024 at most, are broadcast, so no key brings more than a 1024th of the rows to one
+    task. ``rows`` and ``groups`` are read twice: they should be stored tables.
+    """
+    total = groups.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    is_heavy = F.col(size) * HEAVY >= total
+    heavy, light = F.broadcast(groups.where(is_heavy)), groups.where(~is_heavy)
+    return rows.join(heavy, key).unionByName(rows.join(heavy.select(key), key, "left_anti").join(light, key))

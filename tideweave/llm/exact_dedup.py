@@ -11,8 +11,8 @@
   stay apart. A full bitmap lets more entries through, which costs time and changes nothing.
 
 A group of copies collapses in the map-side part of each aggregation, so a group that holds a third
-of all rows costs one row per task; only the join of its ids to its one kept id spreads over tasks
-by Spark's splitting of skewed joins.
+of all rows costs one row per task. Groups of 1/1024 of the hits or more, of which there can be 1,024
+at most, are broadcast to their ids; so no digest brings more than that to one task of a join.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideweave.llm.common import ascii_lower, stored
+from tideweave.llm.common import ascii_lower, join_by_size, stored
 
 #: Bits of the hit filter for each repeated digest, and their bounds: 4 KB and 128 MB.
 HIT_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 15, 1 << 30
@@ -131,15 +131,12 @@ def probe(docs: DataFrame, text: str, doc_id: str, normalise: Callable[[Column],
         .agg(F.min(ident).alias("first"), F.count("*").alias("size"))
         .select("digest", "first", "size")
     )
-    verified = stored(groups, "groups").groupBy("digest").agg(
-        F.count("*").alias("texts"), F.min("first").alias("first"), F.sum("size").alias("size")
-    )
-    hits = (
-        entries.where("hit")
-        .groupBy("digest", "ident")
-        .agg(F.count("*").alias("copies"))
-        .join(verified.where("texts = 1"), "digest")
-        .select(F.bitwise_not("ident").alias("doc_id"), F.bitwise_not("first").alias("keep_id"), F.col("size").alias("group_size"), "digest", "copies")
+    groups = stored(groups, "groups")
+    verified = groups.groupBy("digest").agg(F.count("*").alias("texts"), F.min("first").alias("first"), F.sum("size").alias("size"))
+    ids = entries.where("hit").groupBy("digest", "ident").agg(F.count("*").alias("copies"))
+    found = join_by_size(ids, verified.where("texts = 1"), "digest", "size")
+    hits = found.select(
+        F.bitwise_not("ident").alias("doc_id"), F.bitwise_not("first").alias("keep_id"), F.col("size").alias("group_size"), "digest", "copies"
     )
     mixed = verified.where("texts > 1").select("digest")
     if not mixed.isEmpty():
