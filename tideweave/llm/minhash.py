@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tideweave.llm.common import bound_batches, stored, trim
+from tideweave.llm.common import bound_batches, join_by_size, stored, trim
 from tideweave.llm.components import components
 from tideweave.llm.exact_dedup import hit_filter, with_hit
 from tideweave.llm.tokens import rows_of
@@ -358,10 +358,13 @@ def _near_duplicates(docs: DataFrame, text: str, doc_id: str, threshold: float)
         F.min("key").alias("p1"),
         F.max("key").alias("p2"),
         F.min_by("key", second("key")).alias("p3"),
+        F.count("*").alias("size"),
     )
-    members = members.join(pivots.select("band", F.array("p0", "p1", "p2", "p3").alias("pivots")), "band")
+    # By size, as the bucket of a large group of near copies may hold a third of all members.
+    pivots = stored(pivots.select("band", F.array("p0", "p1", "p2", "p3").alias("pivots"), "size"), "pivots")
+    paired = join_by_size(members.select("key", "band"), pivots, "band", "size")
 
-    first = members.select("key", F.explode(F.array_distinct("pivots")).alias("pivot")).where("key <> pivot")
+    first = paired.select("key", F.explode(F.array_distinct("pivots")).alias("pivot")).where("key <> pivot")
     first = stored(first.select(*_pairs(F.col("key"), F.col("pivot"))).distinct(), "pairs")
     # Shingle sets of candidates only: a bitmap of bounded size picks their rows out of the documents.
     wanted = members.select("doc_id", "key").distinct()
@@ -389,8 +392,8 @@ def _near_duplicates(docs: DataFrame, text: str, doc_id: str, threshold: float)
         .select("key", F.coalesce("root", "key").alias("root"), F.coalesce("links", F.lit(0)).alias("links"))
     )
     placed = stored(worded.select("doc_id", "text_hash", "key").join(classes, "key"), "classes")
-    sizes = placed.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size"))
-    found = placed.join(sizes, "root").select("doc_id", "text_hash", "class_id", "class_size", "links")
+    sizes = stored(placed.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count("*").alias("class_size")), "class-sizes")
+    found = join_by_size(placed, sizes, "root", "class_size").select("doc_id", "text_hash", "class_id", "class_size", "links")
     none = signed.where("words = 0").select("doc_id", "text_hash", F.col("doc_id").alias("class_id"), F.lit(1).cast("long").alias("class_size"), F.lit(0).cast("long").alias("links"))
     return found.unionByName(none).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))
 
