@@ -115,6 +115,17 @@ def test_mix_equals_a_plain_one(spark, rng, monkeypatch):
         assert all(got[i].target == pytest.approx(want[source]) for i in taken)
 
 
+def test_buckets_and_runs_place_documents_without_gaps(spark, rng, monkeypatch):
+    """With everything taken once, every word of a source is in exactly one block, however buckets split it."""
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", 7)
+    monkeypatch.setattr(mixing, "RUN", 4)
+    sizes = {i: rng.randint(0, 40) for i in range(300)}
+    df = spark.createDataFrame([(i, "w " * n, "s" if i % 3 else None) for i, n in sizes.items()], "doc_id long, text string, source string")
+    got = mixing.mix(df, weights=(1,), share=2.0, block=16, shard_slots=8).collect()
+    # Both sources stop at twice their size: each block is taken twice, so each document is.
+    assert {r.doc_id: r.taken for r in got} == {i: 2 * n for i, n in sizes.items()}
+
+
 def test_shards_are_samples_of_the_mix(spark):
     sources = spark.createDataFrame([(1, 5000, 9000), (2, 300, 300)], "source_no long, blocks long, owed long")
     slots = mixing._slots(sources, 500, 3).toPandas()

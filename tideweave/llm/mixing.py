@@ -31,7 +31,9 @@ SHARE, MOST = 1.5, 2.0
 BLOCK = 128
 SHARD_SLOTS = 1 << 13
 #: Rows of one source and bucket, which one task sums.
-BUCKET_ROWS = 4_000
+BUCKET_ROWS = 1_000
+#: Buckets of one source whose sums one task adds up; their totals are added up in turn.
+RUN = 1 << 10
 #: Slots of one source that are dealt at once.
 AT_ONCE = 1 << 16
 #: Sources are ranked in buckets of equal first bytes.
@@ -144,9 +146,11 @@ def mix(
     # Place of each document in its source's stream: by bucket, then by id. Buckets split large sources.
     buckets = parts_for(most_docs, BUCKET_ROWS)
     dealt = rows.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size"), F.lit(buckets)))
-    sums = dealt.groupBy("source_no", "bucket").agg(F.sum("size").alias("n"))
-    before = W.partitionBy("source_no").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)
-    sums = sums.select("source_no", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    sums = dealt.groupBy("source_no", "bucket").agg(F.sum("size").alias("n")).withColumn("run", F.floor(F.col("bucket") / RUN))
+    up_to = lambda by, at: F.coalesce(F.sum("n").over(W.partitionBy(*by).orderBy(at).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    runs = sums.groupBy("source_no", "run").agg(F.sum("n").alias("n")).withColumn("base", up_to(["source_no"], "run"))
+    sums = sums.withColumn("_in_run", up_to(["source_no", "run"], "bucket")).join(runs.select("source_no", "run", "base"), ["source_no", "run"])
+    sums = sums.select("source_no", "bucket", (F.col("base") + F.col("_in_run")).alias("base"))
     within = W.partitionBy("source_no", "bucket").orderBy("doc_id", "size", "row").rowsBetween(W.unboundedPreceding, -1)
     placed = (
         dealt.withColumn("at", F.coalesce(F.sum("size").over(within), F.lit(0)))
