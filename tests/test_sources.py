@@ -5,7 +5,7 @@ import zipfile
 import pytest
 
 from tideweave.operators import audit
-from tideweave.sources import archives, site_tables
+from tideweave.sources import archives, site_tables, staging
 
 URL = "https://example.org/{0}wiki/20260601/{0}wiki-20260601-pages-logging.xml.gz"
 CREATE = "CREATE TABLE `site_stats` (\n  `ss_row_id` int NOT NULL,\n  `ss_total_edits` bigint,\n  `ss_total_pages` bigint,\n  `ss_users` bigint,\n  `ss_active_users` bigint,\n  PRIMARY KEY (`ss_row_id`)\n) ENGINE=InnoDB;\n"
@@ -59,6 +59,37 @@ def test_statistics_with_errors_do_not_reach_the_dimension(spark):
     assert [(r.site, r.fault) for r in site_tables.dimension_faults(found, wanted).collect()] == [("de", "incomplete")]
 
 
+def test_dimension_is_written_whole_or_not_at_all(spark, tmp_path):
+    path = str(tmp_path / "sites")
+    wanted = spark.createDataFrame([("de",)], "site string")
+    columns = "dump_network_site_code string, actual_site_code string, language_label string, contributions string, pages string, users string, active_users string"
+    good = spark.createDataFrame([("de", "de", "German", "1", "2", "3", "4")], columns)
+    read = lambda: [tuple(r) for r in spark.read.option("header", "true").csv(path).collect()]
+    site_tables.write_dimension(good, wanted, path)
+    assert read() == [("de", "de", "German", "1", "2", "3", "4")]
+    for bad, fault in ((good.selectExpr("* EXCEPT (users)", "'x' AS users"), "de incomplete"), (good.where("1 = 0"), "de missing")):
+        with pytest.raises(ValueError, match=fault):
+            site_tables.write_dimension(bad, wanted, path)
+        assert read() == [("de", "de", "German", "1", "2", "3", "4")]
+    newer = good.selectExpr("* EXCEPT (active_users)", "'5' AS active_users")
+    site_tables.write_dimension(newer, wanted, path)
+    assert read() == [("de", "de", "German", "1", "2", "3", "5")]
+    assert [p.name for p in tmp_path.iterdir()] == ["sites"]
+
+
+def test_a_failed_write_leaves_the_old_table(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    (tmp_path / "t" / "old").write_text("x")
+
+    def half(new):
+        spark.range(1).write.parquet(new)
+        raise RuntimeError("lost")
+
+    with pytest.raises(RuntimeError, match="lost"):
+        staging.replace(spark, str(tmp_path / "t"), half)
+    assert [p.name for p in tmp_path.iterdir()] == ["t"] and (tmp_path / "t" / "old").read_text() == "x"
+
+
 def test_package_and_read_back(spark, tmp_path):
     (tmp_path / "e.csv").write_text("site,logid\nde,1\n")
     header = ",".join(audit.AUDIT)

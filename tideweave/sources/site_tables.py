@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideweave.functions.scalars import none_if_empty, site_of_dbname, trim_ascii
+from tideweave.sources.sinks import write_csv
+from tideweave.sources.staging import release, replace, staged
 
 STATS = {"ss_total_edits": "contributions", "ss_total_pages": "pages", "ss_users": "users", "ss_active_users": "active_users"}
 SITE_KEYS = ("dump_network_site_code", "site", "site_code", "code", "dump_site")
@@ -150,3 +152,22 @@ def dimension_faults(dimension: DataFrame, wanted: DataFrame) -> DataFrame:
     rows = dimension.where(bad).select(F.col("dump_network_site_code").alias("site"), F.lit("incomplete").alias("fault"))
     lost = wanted.select("site").join(dimension.select(F.col("dump_network_site_code").alias("site")), "site", "left_anti")
     return rows.unionByName(lost.select("site", F.lit("missing").alias("fault")))
+
+
+def write_dimension(dimension: DataFrame, wanted: DataFrame, path: str) -> None:
+    """Write the site dimension as CSV to ``path``, all or nothing.
+
+    It is staged, so that faults and rows are of the same data, and nothing is written where there are
+    faults. The files are written beside ``path`` and renamed: a reader finds the old table, for a
+    moment none, or the new one, and a write that fails leaves the old one as it was.
+    """
+    found = staged(dimension, "dimension")
+    try:
+        faults = dimension_faults(found, wanted)
+        n = faults.count()
+        if n:
+            shown = ", ".join(f"{r.site} {r.fault}" for r in faults.orderBy("site", "fault").limit(10).collect())
+            raise ValueError(f"site dimension has {n} faults: {shown}")
+        replace(found.sparkSession, path, lambda new: write_csv(found, new, [F.col("dump_network_site_code")]))
+    finally:
+        release(found)

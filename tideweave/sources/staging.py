@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,3 +68,25 @@ def release(*tables: DataFrame) -> None:
     for table in tables:
         system, file = _file(table.sparkSession, table.staged_at)
         system.delete(file, True)
+
+
+def replace(spark: SparkSession, path: str, write: Callable[[str], None]) -> None:
+    """Let ``write`` make a table beside ``path``, then give it that name; what was there goes last.
+
+    If writing or renaming fails, ``path`` is as it was before.
+    """
+    mark = uuid.uuid4().hex
+    system, target = _file(spark, path.rstrip("/"))
+    new, old = (spark._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.{what}-{mark}") for what in ("new", "old"))
+    try:
+        write(new.toString())
+        held = system.exists(target)
+        if held and not system.rename(target, old):
+            raise OSError(f"cannot move {path}")
+        if not system.rename(new, target):
+            if held:
+                system.rename(old, target)
+            raise OSError(f"cannot rename to {path}")
+        system.delete(old, True)
+    finally:
+        system.delete(new, True)
